@@ -44,6 +44,7 @@ def prefix_length(n: int) -> int:
     return n - -(-b * n // a) + 1
 
 
+@np.errstate(over="ignore")
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> list[np.ndarray]:
     """Sorted 64-bit hashes of the distinct k-word shingles of each document.
 

@@ -20,7 +20,7 @@ from .common import lower_ascii, small_batches, span_hashes, text_bytes, text_sl
 
 #: Labelled documents that training reads at most, of either label, and bytes of each such document.
 TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_BYTES = 2500, 3500, 20_000
-WINDOW, STRIDE = 24, 12
+WINDOW, STRIDE = 32, 24
 WORDS, GRAMS, DIM, HIDDEN = 1 << 13, 1 << 14, 8, 8
 #: The logit of a text without any word.
 NOTHING = -12.0
@@ -99,6 +99,17 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 + 0.5 * np.tanh(0.5 * x)
 
 
+def _sum_rows(index: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+    """Row sums by index."""
+    out = np.zeros((size, rows.shape[1]), np.float32)
+    order = np.argsort(index, kind="stable")
+    own = index[order]
+    first = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else np.zeros(0, np.int64)
+    if len(first):
+        out[own[first]] = np.add.reduceat(rows[order], first, axis=0)
+    return out
+
+
 class Network:
     """The parameters, and forward and backward passes over windows of word indices (-1: none)."""
 
@@ -116,11 +127,11 @@ class Network:
         out = np.zeros((len(v.word) + 1, 2 * DIM), np.float32)
         out[:-1, :DIM] = self.p["words"][v.word]
         if len(v.grams):
-            sums = np.concatenate([np.zeros((1, DIM), np.float64), np.cumsum(self.p["grams"][v.grams], axis=0, dtype=np.float64)])
-            out[:-1, DIM:] = (sums[v.cut[1:]] - sums[v.cut[:-1]]) / np.maximum(1, np.diff(v.cut))[:, None]
+            # Marked words have at least three bytes, so each has an n-gram.
+            out[:-1, DIM:] = np.add.reduceat(self.p["grams"][v.grams], v.cut[:-1], axis=0) / np.diff(v.cut)[:, None]
         return out
 
-    def _gru(self, projected: np.ndarray, ids: np.ndarray, mask: np.ndarray, d: str, keep: list | None) -> np.ndarray:
+    def _gru(self, projected: np.ndarray, ids: np.ndarray, mask: np.ndarray, d: str, keep: list) -> np.ndarray:
         rec, h = self.p[f"rec_{d}"], np.zeros((len(ids), HIDDEN), np.float32)
         states = np.zeros((ids.shape[1], len(ids), HIDDEN), np.float32)
         for t in range(ids.shape[1]) if d == "f" else range(ids.shape[1] - 1, -1, -1):
@@ -130,25 +141,23 @@ class Network:
             n = np.tanh(a[:, 2 * HIDDEN :] + r * u[:, 2 * HIDDEN :])
             m = mask[:, t, None]
             new = h + m * (1 - z) * (n - h)
-            if keep is not None:
-                keep.append((t, h, z, r, n, u[:, 2 * HIDDEN :], m))
+            keep.append((t, h, z, r, n, u[:, 2 * HIDDEN :], m))
             h = states[t] = new
         return states
 
-    def forward(self, x: np.ndarray, ids: np.ndarray, keep: dict | None = None, projected: dict | None = None) -> np.ndarray:
+    def forward(self, x: np.ndarray, ids: np.ndarray, keep: dict) -> np.ndarray:
         """Logits of windows; ``ids`` index the rows of ``x``, whose last row means no word."""
         ids = np.where(ids < 0, len(x) - 1, ids)
         mask = (ids < len(x) - 1).astype(np.float32)
-        projected = projected or self.project(x)
-        kept = {"f": [], "b": []} if keep is not None else {"f": None, "b": None}
+        projected = self.project(x)
+        kept: dict[str, list] = {"f": [], "b": []}
         states = np.concatenate([self._gru(projected[d], ids, mask, d, kept[d]) for d in "fb"], axis=2)
         hidden = np.tanh(states @ self.p["att"] + self.p["att_b"])
         energy = hidden @ self.p["att_v"] + (mask.T - 1) * 1e4
         weight = np.exp(energy - energy.max(0))
         weight /= weight.sum(0)
         pooled = (weight[:, :, None] * states).sum(0)
-        if keep is not None:
-            keep |= {"ids": ids, "kept": kept, "states": states, "hidden": hidden, "weight": weight, "pooled": pooled}
+        keep |= {"ids": ids, "kept": kept, "states": states, "hidden": hidden, "weight": weight, "pooled": pooled}
         return pooled @ self.p["out"] + self.p["out_b"]
 
     def project(self, x: np.ndarray) -> dict[str, np.ndarray]:
@@ -169,7 +178,7 @@ class Network:
         d_x = np.zeros_like(x)
         for k, d in enumerate("fb"):
             rec, own = self.p[f"rec_{d}"], d_states[:, :, k * HIDDEN : (k + 1) * HIDDEN]
-            d_rec, d_in, d_h = np.zeros_like(rec), np.zeros((len(x), 3 * HIDDEN), np.float32), np.zeros_like(own[0])
+            d_rec, d_h, inner_all = np.zeros_like(rec), np.zeros_like(own[0]), []
             for t, h, z, r, n, u, m in reversed(keep["kept"][d]):
                 total = d_h + own[t]
                 d_n = total * m * (1 - z) * (1 - n * n)
@@ -179,19 +188,55 @@ class Network:
                 d_u = np.concatenate([d_z, d_r, d_n * r], axis=1)
                 d_rec += h.T @ d_u
                 d_h = total * (1 - m * (1 - z)) + d_u @ rec.T
-                np.add.at(d_in, keep["ids"][:, t], d_a)
+                inner_all.append((t, d_a))
+            d_in = _sum_rows(np.concatenate([keep["ids"][:, t] for t, _ in inner_all]), np.concatenate([a for _, a in inner_all]), len(x))
             g |= {f"rec_{d}": d_rec, f"in_{d}": x.T @ d_in, f"bias_{d}": d_in.sum(0)}
             d_x += d_in @ self.p[f"in_{d}"].T
-        g["words"], g["grams"] = np.zeros_like(self.p["words"]), np.zeros_like(self.p["grams"])
-        np.add.at(g["words"], v.word, d_x[:-1, :DIM])
         size = np.diff(v.cut)
-        np.add.at(g["grams"], v.grams, np.repeat(d_x[:-1, DIM:] / np.maximum(1, size)[:, None], size, axis=0))
+        g["words"] = _sum_rows(v.word, d_x[:-1, :DIM], WORDS)
+        g["grams"] = _sum_rows(v.grams, np.repeat(d_x[:-1, DIM:] / size[:, None], size, axis=0), GRAMS)
         return g
 
-    def window_logits(self, v: Vocabulary, ids: np.ndarray, block: int = 4096) -> np.ndarray:
-        x = self.inputs(v)
-        projected = self.project(x)
-        return np.concatenate([np.zeros(0, np.float32), *[self.forward(x, ids[i : i + block], projected=projected) for i in range(0, len(ids), block)]])
+    def window_logits(self, v: Vocabulary, ids: np.ndarray, block: int = 1024) -> np.ndarray:
+        """The logits of :meth:`forward`, without what training keeps.
+
+        The projection of "no word" closes the update gate, so short windows need no mask there.
+        """
+        x, h = self.inputs(v), HIDDEN
+        half = np.repeat(np.array([0.5, 0.5, 1.0], np.float32), h)  # sigmoid(x) is 0.5 + 0.5 tanh(x / 2)
+        projected = {d: p * half for d, p in self.project(x).items()}
+        rec = {d: self.p[f"rec_{d}"] * half for d in "fb"}
+        for p in projected.values():
+            p[-1, :h] = 30.0
+        out = np.empty(len(ids), np.float32)
+        ids = np.where(ids < 0, len(x) - 1, ids).astype(np.intp)
+        for i in range(0, len(ids), block):
+            at = np.ascontiguousarray(ids[i : i + block].T)
+            steps, n = at.shape
+            states = np.empty((steps, n, 2 * h), np.float32)
+            a, u, gate, new = (np.empty((n, k), np.float32) for k in (3 * h, 3 * h, 2 * h, h))
+            for k, d in enumerate("fb"):
+                state = np.zeros((n, h), np.float32)
+                for t in range(steps) if d == "f" else range(steps - 1, -1, -1):
+                    np.take(projected[d], at[t], axis=0, out=a, mode="clip")
+                    np.dot(state, rec[d], out=u)
+                    np.add(a[:, : 2 * h], u[:, : 2 * h], out=gate)
+                    np.tanh(gate, out=gate)
+                    gate *= 0.5
+                    gate += 0.5
+                    np.multiply(gate[:, h:], u[:, 2 * h :], out=new)
+                    new += a[:, 2 * h :]
+                    np.tanh(new, out=new)
+                    state -= new
+                    state *= gate[:, :h]
+                    state += new
+                    states[t, :, k * h : (k + 1) * h] = state
+            energy = np.tanh(states @ self.p["att"] + self.p["att_b"]) @ self.p["att_v"]
+            energy[at == len(x) - 1] = -1e4
+            weight = np.exp(energy - energy.max(0))
+            value = states @ self.p["out"]
+            out[i : i + n] = (weight * value).sum(0) / weight.sum(0)
+        return out + self.p["out_b"]
 
     def score(self, worst: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.scale * worst + self.shift, -30, 30)))
@@ -208,8 +253,10 @@ class _Adam:
         self.p, self.rate, self.t = p, rate, 0
         self.m, self.v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
 
-    def step(self, g: dict[str, np.ndarray]) -> None:
+    def step(self, g: dict[str, np.ndarray], decay: float = 1e-4) -> None:
         self.t += 1
+        for k in ("words", "grams"):
+            self.p[k] *= 1 - decay
         size = np.sqrt(sum(float((x * x).sum()) for x in g.values()))
         for k, x in g.items():
             x = x * min(1.0, 5.0 / (size + 1e-9))
@@ -218,35 +265,58 @@ class _Adam:
             self.p[k] -= self.rate * (self.m[k] / (1 - 0.9**self.t)) / (np.sqrt(self.v[k] / (1 - 0.99**self.t)) + 1e-6)
 
 
-def fit_network(texts: list[str | None], toxic: np.ndarray, rounds: int = 8, batch: int = 256, seed: int = 5) -> Network:
-    """Train on documents and their labels (0 or 1).  Without both labels the score is the constant prior."""
+def _trusted(net: Network, v: Vocabulary, index: np.ndarray, doc: np.ndarray, toxic: np.ndarray) -> dict[str, np.ndarray]:
+    """Which word and n-gram buckets enough toxic documents hold; the others stay zero, like unknown words."""
+    size = len(v.word)
+    pairs = np.unique(doc[toxic[doc]] * size + index[toxic[doc]])
+    held = np.bincount(pairs % size, minlength=size)
+    least = max(3, int(toxic.sum()) // 200)
+    words, grams = (np.zeros(k, np.int64) for k in (WORDS, GRAMS))
+    np.add.at(words, v.word, held)
+    np.add.at(grams, v.grams, np.repeat(held, np.diff(v.cut)))
+    on = {"words": words >= least, "grams": grams >= least}
+    for k, rows in on.items():
+        net.p[k][~rows] = 0
+    return on
+
+
+def fit_network(texts: list[str | None], toxic: np.ndarray, prior: float | None = None, rounds: int = 7, batch: int = 256, seed: int = 5) -> Network:
+    """Train on documents and their labels (0 or 1).  Without both labels the score is a constant.
+
+    A quarter of the documents is kept from training and turns logits into scores; ``prior`` is the
+    share of toxic documents there, if the sample has another.
+    """
     rng, net = np.random.default_rng(seed), Network(seed)
     toxic = np.asarray(toxic, bool)
     data, offsets = text_bytes(pa.array(texts, pa.string()))
     data = lower_ascii(data)
     starts, ends, doc = _tokens(data, offsets)
-    if not len(toxic) or toxic.all() or not toxic.any() or not len(starts):
-        prior = (toxic.sum() + 1) / (len(toxic) + 2)
-        net.scale, net.shift = 0.0, float(np.log(prior / (1 - prior)))
+    apart = rng.permutation(len(toxic)) % 4 == 0
+    if not len(starts) or any(not (toxic & own).any() or not (~toxic & own).any() for own in (apart, ~apart)):
+        base = (toxic.sum() + 1) / (len(toxic) + 2)
+        net.scale, net.shift = 0.0, float(np.log(base / (1 - base)))
         return net
     vocabulary, index = Vocabulary.of(data, starts, ends)
+    on = _trusted(net, vocabulary, index, doc, toxic & ~apart)
     at, owner = _windows(doc, len(texts))
     ids = np.where(at < 0, -1, index[np.maximum(at, 0)])
-    adam, bad = _Adam(net.p, 0.01), toxic[owner]
-    least = max(40, 6000 // batch)  # small samples are gone through more than once a round
+    every = ids
+    ids, home = ids[~apart[owner]], owner[~apart[owner]]
+    adam, bad = _Adam(net.p, 0.01), toxic[home]
+    some = lambda rows, n: rng.permutation(rows)[:n]
     for k in range(rounds):
-        logits = net.window_logits(vocabulary, ids)
         if k < 2:
-            chosen = [rng.permutation(np.flatnonzero(bad))[:20_000], rng.permutation(np.flatnonzero(~bad))[:20_000]]
+            chosen = [some(np.flatnonzero(bad), 8000), some(np.flatnonzero(~bad), 8000)]
         else:
-            order = np.lexsort((-logits, owner))
-            rank = np.arange(len(order)) - np.searchsorted(owner[order], owner[order])
+            logits = net.window_logits(vocabulary, ids)
+            order = np.lexsort((-logits, home))
+            rank = np.arange(len(order)) - np.searchsorted(home[order], home[order])
             top = order[rank == 0]
-            sure = np.flatnonzero(bad & (logits > 0.5))
-            chosen = [top[bad[top]], rng.permutation(sure)[:10_000], top[~bad[top]], rng.permutation(np.flatnonzero(~bad))[:10_000]]
+            sure, hard = np.flatnonzero(bad & (logits > 2)), np.flatnonzero(~bad & (logits > -2))
+            chosen = [top[bad[top]], some(sure, 4000), some(top[~bad[top]], 4000), some(hard, 4000), some(np.flatnonzero(~bad), 2000)]
         chosen = np.unique(np.concatenate(chosen))
         adam.rate = 0.01 if k < rounds - 2 else 0.003
-        steps = max(least, -(-len(chosen) // batch))
+        steps = max(30, -(-len(chosen) // batch))
         pool = np.concatenate([rng.permutation(chosen) for _ in range(-(-steps * batch // len(chosen)))])
         share = np.clip(bad[chosen].mean(), 0.05, 0.95)
         for s in range(steps):
@@ -259,25 +329,30 @@ def fit_network(texts: list[str | None], toxic: np.ndarray, rounds: int = 8, bat
             x, keep = net.inputs(v), {}
             out = net.forward(x, local, keep)
             weight = np.where(bad[pick], 0.5 / share, 0.5 / (1 - share))
-            error = ((_sigmoid(out) - bad[pick]) * weight / len(pick)).astype(np.float32)
-            adam.step(net.backward(v, x, keep, error))
-    worst = _worst(net.window_logits(vocabulary, ids), owner, len(texts))
-    net.scale, net.shift = _calibrate(worst, toxic)
+            g = net.backward(v, x, keep, ((_sigmoid(out) - bad[pick]) * weight / len(pick)).astype(np.float32))
+            for name, rows in on.items():
+                g[name][~rows] = 0
+            adam.step(g)
+    worst = _worst(net.window_logits(vocabulary, every), owner, len(texts))[apart]
+    net.scale, net.shift = _calibrate(worst, toxic[apart], prior)
     return net
 
 
-def _calibrate(worst: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
+def _calibrate(worst: np.ndarray, toxic: np.ndarray, prior: float | None) -> tuple[float, float]:
     """Logistic regression of the label on the worst logit, by Newton steps with a small ridge."""
     x, y = np.stack([worst, np.ones_like(worst)], 1), toxic.astype(float)
-    target = np.where(toxic, 1 - 1 / (toxic.sum() + 2), 1 / ((~toxic).sum() + 2))  # keeps separable samples finite
+    share = y.mean()
+    prior = share if prior is None else min(max(prior, 1e-3), 1 - 1e-3)
+    weight = np.where(toxic, prior / share, (1 - prior) / (1 - share))
     w = np.array([1.0, 0.0])
-    for _ in range(50):
+    ridge = np.diag([1e-3, 1e-6])
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (p - target) / len(y) + 1e-4 * (w - [1.0, 0.0])
-        hess = (x * (p * (1 - p))[:, None]).T @ x / len(y) + 1e-4 * np.eye(2)
+        grad = x.T @ (weight * (p - y)) / len(y) + ridge @ w
+        hess = (x * (weight * p * (1 - p))[:, None]).T @ x / len(y) + ridge + 1e-9 * np.eye(2)
         step = np.linalg.solve(hess, grad)
-        w -= step * min(1.0, 2.0 / (np.abs(step).max() + 1e-9))
-    return (float(max(w[0], 0.05)), float(w[1]))
+        w = w - step * min(1.0, 2.0 / (np.abs(step).max() + 1e-9))
+    return float(max(w[0], 0.05)), float(w[1])
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", keep: Column | None = None, most: tuple[int, int] = (TRAIN_TOXIC, TRAIN_CLEAN), most_bytes: int = TRAIN_BYTES, id_col: str = "doc_id", text_col: str = "text") -> Network:
@@ -291,9 +366,11 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic",
     order = [F.md5(F.concat(F.lit("toxicity:"), F.col("__id").cast("string"))), F.col("__id")]
     picked = own.where("__y").orderBy(*order).limit(most[0]).unionByName(own.where("not __y").orderBy(*order).limit(most[1]))
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text")).where(F.octet_length("__text") <= most_bytes)
+    count = own.agg(F.count("*").alias("n"), F.sum(F.col("__y").cast("int")).alias("t")).first()
+    prior = count["t"] / count["n"] if count["n"] else None
     found = rows.join(F.broadcast(picked), "__id").collect()  # at most sum(most) documents of most_bytes
     found = sorted(((r["__id"], r["__text"], r["__y"]) for r in found), key=lambda r: (r[0], r[1], r[2]))
-    return fit_network([t for _, t, _ in found], np.array([y for *_, y in found], bool))
+    return fit_network([t for _, t, _ in found], np.array([y for *_, y in found], bool), prior)
 
 
 def _judge(net: Network, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
