@@ -71,24 +71,42 @@ def utm_forward(lon: Column, lat: Column, zone: int, north: bool = True) -> tupl
     return 500000 + _K0 * _A * x, (0 if north else 10_000_000) + _K0 * _A * y
 
 
+def _bind(value: Column, body) -> Column:
+    """Evaluate ``value`` once and use it many times: a lambda's variable does not copy its expression."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def utm_inverse(x: Column, y: Column, zone: int, north: bool = True) -> tuple[Column, Column]:
     """Longitude and latitude in degrees; the inverse of :func:`utm_forward` to well below a millimetre."""
-    xi = (y - (0 if north else 10_000_000)) / (_K0 * _A)
-    eta = (x - 500000) / (_K0 * _A)
-    p, q = xi, eta
-    for j, b in enumerate(_BETA, 1):
-        p = p - b * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-        q = q - b * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-    tau = F.sin(p) / F.sqrt(F.sinh(q) * F.sinh(q) + F.cos(p) * F.cos(p))
-    lam = F.atan2(F.sinh(q), F.cos(p))
-    t = tau
-    for _ in range(4):  # Newton steps from the conformal to the geodetic latitude
-        r = F.sqrt(F.lit(1.0) + t * t)
-        sigma = F.sinh(_E * F.atanh(_E * t / r))
-        ti = t * F.sqrt(F.lit(1.0) + sigma * sigma) - sigma * r
-        step = (tau - ti) / F.sqrt(F.lit(1.0) + ti * ti) * (F.lit(1.0) + (1 - _E**2) * t * t) / ((1 - _E**2) * r)
-        t = t + step
-    return F.degrees(lam) + (6 * zone - 183), F.degrees(F.atan(t))
+
+    def conformal(v: Column) -> Column:
+        p, q = v["xi"], v["eta"]
+        for j, b in enumerate(_BETA, 1):
+            p = p - b * F.sin(2 * j * v["xi"]) * F.cosh(2 * j * v["eta"])
+            q = q - b * F.cos(2 * j * v["xi"]) * F.sinh(2 * j * v["eta"])
+        return F.struct(p.alias("p"), q.alias("q"))
+
+    def tangent(v: Column) -> Column:
+        return F.struct((F.sin(v["p"]) / F.sqrt(F.sinh(v["q"]) * F.sinh(v["q"]) + F.cos(v["p"]) * F.cos(v["p"]))).alias("tau"), F.atan2(F.sinh(v["q"]), F.cos(v["p"])).alias("lam"))
+
+    def newton(tau: Column):
+        """One step from the conformal to the geodetic latitude."""
+
+        def step(t: Column, _: Column) -> Column:
+            r = F.sqrt(F.lit(1.0) + t * t)
+
+            def move(sigma: Column) -> Column:
+                ti = t * F.sqrt(F.lit(1.0) + sigma * sigma) - sigma * r
+                return t + (tau - ti) / F.sqrt(F.lit(1.0) + ti * ti) * (F.lit(1.0) + (1 - _E**2) * t * t) / ((1 - _E**2) * r)
+
+            return _bind(F.sinh(_E * F.atanh(_E * t / r)), move)
+
+        return step
+
+    start = F.struct(((y - (0 if north else 10_000_000)) / (_K0 * _A)).alias("xi"), ((x - 500000) / (_K0 * _A)).alias("eta"))
+    both = _bind(_bind(start, conformal), tangent)
+    lat = _bind(both, lambda v: F.degrees(F.atan(F.aggregate(F.sequence(F.lit(1), F.lit(4)), v["tau"], newton(v["tau"])))))
+    return F.degrees(both["lam"]) + (6 * zone - 183), lat
 
 
 def utm_zone(lon: float) -> int:

@@ -12,7 +12,6 @@ from pyspark.sql import Window as W
 from ..functions.bands import is_bad, masked, ndvi, reflectance
 
 PIXEL = ("row", "col")
-SERIES = W.partitionBy(*PIXEL).orderBy("scene")
 
 
 def densify(obs: DataFrame, height: int, width: int, scenes: list | None = None) -> DataFrame:
@@ -49,7 +48,7 @@ def fill_gaps(cells: DataFrame, *values: str) -> DataFrame:
 
 def time_index(cells: DataFrame) -> DataFrame:
     """Append ``t``: 0 for a pixel's first scene, then 1, 2, ..."""
-    return cells.withColumn("t", F.row_number().over(SERIES) - 1)
+    return cells.withColumn("t", F.row_number().over(W.partitionBy(*PIXEL).orderBy("scene")) - 1)
 
 
 def temporal_summary(cells: DataFrame, value: str = "ndvi") -> DataFrame:
