@@ -71,14 +71,19 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 16, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write the documents as ``path/shard=K`` Parquet folders, each in slot order within its files."""
-    placed = shard_by_bytes(docs, shards, id_col, text_col).select(F.col(id_col).alias("__id"), "shard", "slot", "size", "text_crc32")
+    """Write the documents as ``path/shard=K`` Parquet folders, each in slot order within its files.
+
+    A column of ``docs`` named shard is replaced by the folder's.
+    """
+    kept = [c for c in docs.columns if c != "shard"]
+    placed = shard_by_bytes(docs, shards, id_col, text_col)
+    placed = placed.select(F.col(id_col).alias("__id"), F.col("shard").alias("__shard"), F.col("slot").alias("__slot"), F.col("size").alias("__n"), F.col("text_crc32").alias("__c"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    marked = docs.withColumns({"__size": (F.octet_length(text) + 1).cast("long"), "__crc": F.crc32(text.cast("binary"))})
+    marked = docs.select(*kept, (F.octet_length(text) + 1).cast("long").alias("__size"), F.crc32(text.cast("binary")).alias("__crc"))
     # Rows that agree on id, size and checksum are copies; a copy number pairs them one to one.
     copy = lambda *by: F.row_number().over(W.partitionBy(*by).orderBy(F.lit(1)))
     left = marked.withColumn("__copy", copy(id_col, "__size", "__crc"))
-    right = placed.withColumn("__copy", copy("__id", "size", "text_crc32"))
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__size") == F.col("size")) & (F.col("__crc") == F.col("text_crc32")) & (left["__copy"] == right["__copy"])
-    out = left.join(right, same).select(*docs.columns, F.col("shard"), F.col("slot").alias("__slot"))
+    right = placed.withColumn("__other", copy("__id", "__n", "__c"))
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__size") == F.col("__n")) & (F.col("__crc") == F.col("__c")) & (F.col("__copy") == F.col("__other"))
+    out = left.join(right, same).select(*kept, F.col("__shard").alias("shard"), "__slot")
     out.repartition("shard").sortWithinPartitions("shard", "__slot").drop("__slot").write.partitionBy("shard").parquet(path)
