@@ -128,13 +128,21 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the spans of ``data``, from one prefix sum."""
-    size = 1 << max(16, int(len(data)).bit_length())
-    up, down, table = _poly(size)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(table[data] * up[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, chunk: int = 1 << 20) -> np.ndarray:
+    """64-bit hashes of the spans of ``data`` (starts in order), from prefix sums over chunks of it."""
+    out = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        base = int(starts[i])
+        j = max(i + 1, int(np.searchsorted(starts, base + chunk)))
+        part = data[base : int(ends[i:j].max())]
+        up, down, table = _poly(1 << max(16, len(part).bit_length()))
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(table[part] * up[: len(part)], out=sums[1:])
+        a, b = starts[i:j] - base, ends[i:j] - base
+        out[i:j] = mix((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64))
+        i = j
+    return out
 
 
 def rolling_hashes(data: np.ndarray, width: int) -> np.ndarray:

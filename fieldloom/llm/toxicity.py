@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import lower_ascii, small_batches, span_hashes, text_bytes, text_slices
 
 #: Labelled documents that training reads at most, of either label, and bytes of each such document.
-TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_BYTES = 2500, 3500, 20_000
+TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_BYTES = 1200, 2400, 12_000
 WINDOW, STRIDE = 32, 24
 WORDS, GRAMS, DIM, HIDDEN = 1 << 13, 1 << 14, 8, 8
 #: The logit of a text without any word.
@@ -57,24 +57,22 @@ class Vocabulary:
         hashes = span_hashes(data, starts, ends)
         _, at, index = np.unique(hashes, return_index=True, return_inverse=True)
         s, e = starts[at], ends[at]
-        size = (e - s + 2).astype(np.int64)  # with a mark on either side
-        flat = np.zeros(int(size.sum()) if len(size) else 0, np.uint8)
-        cut = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
-        inner = np.ones(len(flat), bool)
-        inner[cut[:-1]] = inner[cut[1:] - 1] = False
-        origin = np.repeat(s - cut[:-1] - 1, size) + np.arange(len(flat))
-        flat[inner] = data[origin[inner]]
-        word_of = np.repeat(np.arange(len(size)), size)
-        grams, owner = [], []
-        for n in (3, 5):
-            p = np.flatnonzero(np.arange(len(flat)) + n <= cut[1:][word_of]) if len(flat) else np.zeros(0, np.int64)
-            grams.append(span_hashes(flat, p, p + n) % np.uint64(GRAMS))
-            owner.append(word_of[p])
-        owner_all = np.concatenate(owner)
-        order = np.argsort(owner_all, kind="stable")
-        bounds = np.searchsorted(owner_all[order], np.arange(len(size) + 1))
+        size = (e - s + 2).astype(np.int32)  # with a mark on either side
+        cut = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+        flat = np.zeros(cut[-1], np.uint8)
+        word_of = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        place = np.arange(len(flat), dtype=np.int32) - cut[word_of]
+        inner = (place > 0) & (place < size[word_of] - 1)
+        flat[inner] = data[s[word_of[inner]] + place[inner] - 1]
+        counts = [np.maximum(size - n + 1, 0) for n in (3, 5)]
+        bounds = np.concatenate([[0], np.cumsum(counts[0] + counts[1])]).astype(np.int64)
+        grams = np.empty(bounds[-1], np.int32)
+        for n, before in ((3, 0), (5, counts[0])):
+            p = np.flatnonzero(place + n <= size[word_of])
+            own = word_of[p]
+            grams[bounds[own] + (before if n == 3 else before[own]) + place[p]] = (span_hashes(flat, p, p + n) % np.uint64(GRAMS)).astype(np.int32)
         bucket = (hashes[at] % np.uint64(WORDS)).astype(np.int32)
-        return Vocabulary(bucket, np.concatenate(grams)[order].astype(np.int32), bounds), index.reshape(-1)
+        return Vocabulary(bucket, grams, bounds), index.reshape(-1).astype(np.int32)
 
     def part(self, ids: np.ndarray) -> Vocabulary:
         n = np.diff(self.cut)[ids]
@@ -128,7 +126,10 @@ class Network:
         out[:-1, :DIM] = self.p["words"][v.word]
         if len(v.grams):
             # Marked words have at least three bytes, so each has an n-gram.
-            out[:-1, DIM:] = np.add.reduceat(self.p["grams"][v.grams], v.cut[:-1], axis=0) / np.diff(v.cut)[:, None]
+            for i in range(0, len(v.word), 10_000):
+                own = v.cut[i : i + 10_001]
+                rows = self.p["grams"][v.grams[own[0] : own[-1]]]
+                out[i : i + len(own) - 1, DIM:] = np.add.reduceat(rows, own[:-1] - own[0], axis=0) / np.diff(own)[:, None]
         return out
 
     def _gru(self, projected: np.ndarray, ids: np.ndarray, mask: np.ndarray, d: str, keep: list) -> np.ndarray:
@@ -209,9 +210,9 @@ class Network:
         for p in projected.values():
             p[-1, :h] = 30.0
         out = np.empty(len(ids), np.float32)
-        ids = np.where(ids < 0, len(x) - 1, ids).astype(np.intp)
         for i in range(0, len(ids), block):
-            at = np.ascontiguousarray(ids[i : i + block].T)
+            own = ids[i : i + block].T
+            at = np.where(own < 0, len(x) - 1, own).astype(np.intp, order="C")
             steps, n = at.shape
             states = np.empty((steps, n, 2 * h), np.float32)
             a, u, gate, new = (np.empty((n, k), np.float32) for k in (3 * h, 3 * h, 2 * h, h))
@@ -268,7 +269,7 @@ class _Adam:
 def _trusted(net: Network, v: Vocabulary, index: np.ndarray, doc: np.ndarray, toxic: np.ndarray) -> dict[str, np.ndarray]:
     """Which word and n-gram buckets enough toxic documents hold; the others stay zero, like unknown words."""
     size = len(v.word)
-    pairs = np.unique(doc[toxic[doc]] * size + index[toxic[doc]])
+    pairs = np.unique(doc[toxic[doc]].astype(np.int64) * size + index[toxic[doc]])
     held = np.bincount(pairs % size, minlength=size)
     least = max(3, int(toxic.sum()) // 200)
     words, grams = (np.zeros(k, np.int64) for k in (WORDS, GRAMS))
@@ -299,9 +300,9 @@ def fit_network(texts: list[str | None], toxic: np.ndarray, prior: float | None
     vocabulary, index = Vocabulary.of(data, starts, ends)
     on = _trusted(net, vocabulary, index, doc, toxic & ~apart)
     at, owner = _windows(doc, len(texts))
-    ids = np.where(at < 0, -1, index[np.maximum(at, 0)])
-    every = ids
-    ids, home = ids[~apart[owner]], owner[~apart[owner]]
+    every = np.where(at < 0, -1, index[np.maximum(at, 0)]).astype(np.int32)
+    del data, at, starts, ends, doc
+    ids, home = every[~apart[owner]], owner[~apart[owner]]
     adam, bad = _Adam(net.p, 0.01), toxic[home]
     some = lambda rows, n: rng.permutation(rows)[:n]
     for k in range(rounds):
