@@ -78,18 +78,18 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> lis
     return out
 
 
-def _set_rows(docs: DataFrame, id_col: str, text_col: str, full: bool) -> DataFrame:
-    """(__id, __key, n, node, tokens): the set's size and hash, and its shingles (all, or those in the region)."""
+def _set_rows(docs: DataFrame, id_col: str, text_col: str, share: float) -> DataFrame:
+    """(__id, __key, n, node, tokens): the set's size and hash, and the shingles in that share of all hashes."""
     small_batches(docs.sparkSession)
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    top = np.uint64(int(REGION * (1 << 64))) if not full else np.uint64(0xFFFFFFFFFFFFFFFF)
+    top = np.uint64(min(int(share * (1 << 64)), (1 << 64) - 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch, data, offsets in text_slices(batches, "__text", 2 << 20):
                 sets = shingle_sets(data, offsets)
                 nodes = [int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) for s in sets]
-                parts = sets if full else [s[: np.searchsorted(s, top)] for s in sets]
+                parts = sets if share >= 1 else [s[: np.searchsorted(s, top)] for s in sets]
                 cut = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
                 flat = np.concatenate([*parts, np.zeros(0, np.uint64)]).view(np.int64)
                 tokens = pa.ListArray.from_arrays(pa.array(cut), pa.array(flat))
@@ -343,11 +343,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Repeated rows and equal sets link; a component without any id keeps null; other columns are
     ignored; an empty table gives an empty result.
     """
-    rows = materialise(_set_rows(docs, id_col, text_col, full=False), "jaccard-rows")
+    rows = materialise(_set_rows(docs, id_col, text_col, 0.0).drop("tokens"), "jaccard-rows")
     nodes = rows.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min("__id").alias("__least"), F.min("__key").alias("__key"), F.count("*").alias("__copies"))
     nodes = materialise(nodes, "jaccard-nodes")
-    # Shingles of the region that one set alone has; equal sets count as one.
-    single = rows.select("node", F.explode("tokens").alias("token")).groupBy("token").agg(F.min("node").alias("node"), F.max("node").alias("__other")).where("node = __other")
+    # Shingles of the region that one set alone has; equal sets count as one.  Making them again costs
+    # less than keeping them on disk.
+    region = _set_rows(docs, id_col, text_col, REGION)
+    single = region.select("node", F.explode("tokens").alias("token")).groupBy("token").agg(F.min("node").alias("node"), F.max("node").alias("__other")).where("node = __other")
     single = single.groupBy("node").agg(F.count("*").alias("__single"))
     a, b = PERCENT
     length = F.col("n") - F.ceil(F.col("n") * b / a) + 1
@@ -355,7 +357,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     left = materialise(left, "jaccard-left")
     kept = docs.select(id_col, text_col).withColumn("__rk", row_key(id_col, text_col))
     kept = kept.join(_within(left.withColumnRenamed("__key", "__rk")), "__rk", "left_semi")
-    full = materialise(_set_rows(kept, id_col, text_col, full=True).dropDuplicates(["node"]).select("node", "n", "tokens"), "jaccard-sets")
+    full = materialise(_set_rows(kept, id_col, text_col, 1.0).dropDuplicates(["node"]).select("node", "n", "tokens"), "jaccard-sets")
     root = components(set_links(full))
     joined = nodes.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = joined.groupBy("root").agg(F.min("__least").alias("__component"), F.count("*").alias("__members"))
