@@ -26,8 +26,8 @@ def canonical(text: Column) -> Column:
     x = F.regexp_replace(text, NAMES, "$1 \x01n ")
     x = F.regexp_replace(x, NUMBERS, " \x01d ")
     x = F.regexp_replace(x, rf"(\x01d  ?)(?i:{UNITS})\b", "$1 \x01u ")
-    x = F.trim(F.regexp_replace(F.lower(x), r"[^\p{L}\p{M}\x01]+", " "))
-    return F.when(F.length(x) > 0, F.split(x, " ")).otherwise(F.array().cast("array<string>"))
+    # Each step stands once in the expression, so that nothing is computed twice.
+    return F.coalesce(F.array_remove(F.split(F.lower(x), r"[^\p{L}\p{M}\x01]+"), ""), F.array().cast("array<string>"))
 
 
 def slot_values(text: Column) -> Column:
@@ -38,9 +38,23 @@ def slot_values(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(x, F.lit("\x01([^\x02]*)\x02"), 1), F.lower)
 
 
-def _windows(tokens: Column, width: int) -> Column:
-    last = F.size(tokens) - width + 1
-    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), lambda i: F.struct(F.lit(width).alias("w"), i.alias("pos"), F.xxhash64(F.slice(tokens, i, width)).alias("h"))))
+def _windows(df: DataFrame, tokens: str, widths: list[int], position: str) -> DataFrame:
+    """A row per window of each width: ``df`` without its tokens, and ``__w``, ``position`` (from 1) and ``__h``.
+
+    Tokens are hashed once; the explode and the windows' hashes stay in generated code.
+    """
+    rest = [c for c in df.columns if c != tokens]
+    hashed = df.select(*rest, F.transform(tokens, lambda t: F.xxhash64(t)).alias("__hashes")).where(F.size("__hashes") >= min(widths))
+    last = F.size("__hashes") - min(widths) + 1
+    each = hashed.select(*rest, "__hashes", F.explode(F.sequence(F.lit(1), last)).alias(position))
+
+    def window(w: int) -> Column:
+        return F.xxhash64(F.slice("__hashes", F.col(position), w))
+
+    if len(widths) == 1:
+        return each.select(*rest, F.lit(widths[0]).alias("__w"), position, window(widths[0]).alias("__h"))
+    each = each.select(*rest, position, F.size("__hashes").alias("__size"), F.explode(F.array(*[F.struct(F.lit(w).alias("w"), window(w).alias("h")) for w in widths])).alias("__x"))
+    return each.where(F.col(position) + F.col("__x.w") - 1 <= F.col("__size")).select(*rest, F.col("__x.w").alias("__w"), position, F.col("__x.h").alias("__h"))
 
 
 def _within(df: DataFrame) -> DataFrame:
@@ -66,13 +80,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, coverage:
     if not widths:
         return docs.sparkSession.createDataFrame([], f"{id_col} {empty}, {item_col} {benchmark.schema[item_col].dataType.simpleString()}, matched long, windows int, coverage double, kind string")
 
-    index = items.select("__ikey", "__w", F.explode(F.transform(F.sequence(F.lit(1), F.col("__n")), lambda i: F.struct(i.alias("pos"), F.xxhash64(F.slice("__it", i, F.col("__w"))).alias("h")))).alias("x"))
-    index = materialise(index.select("__ikey", "__w", F.col("x.pos").alias("__ipos"), F.col("x.h").alias("__h")), "leak-index")
+    index = _windows(items.select("__ikey", F.col("__w").alias("__own"), "__it"), "__it", widths, "__ipos").where(F.col("__w") == F.col("__own")).drop("__own")
+    index = materialise(index, "leak-index")
 
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text")).where("__text is not null")
     keyed = texts.select("__id", row_key("__id", "__text").alias("__key"), canonical(F.col("__text")).alias("__t"))
-    parts = F.concat(*[F.coalesce(_windows(F.col("__t"), w), F.array().cast("array<struct<w:int,pos:int,h:bigint>>")) for w in widths])
-    found = keyed.select("__id", "__key", F.explode(parts).alias("x")).select("__id", "__key", F.col("x.w").alias("__w"), F.col("x.pos").alias("__pos"), F.col("x.h").alias("__h"))
+    found = _windows(keyed, "__t", widths, "__pos")
     found = found.join(_within(index), ["__h", "__w"])
     # An alignment's windows are at most an item's; identical rows collapse while still in the map.
     lines = found.groupBy("__id", "__key", "__ikey", (F.col("__pos") - F.col("__ipos")).alias("__shift")).agg(F.collect_set("__ipos").alias("__ipos"))
