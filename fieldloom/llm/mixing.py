@@ -2,7 +2,8 @@
 
 Each source's rate is the number of copies of its documents that the target weight asks for.  A
 document's copy count inverts the Poisson distribution of that mean at a uniform number made from a
-hash of the document, so every run and every executor draws the same copies.
+hash of the document, so every run and every executor draws the same copies.  A rate above
+``PART_RATE`` is the sum of independent draws of equal smaller rates, which is Poisson again.
 """
 
 from __future__ import annotations
@@ -12,10 +13,15 @@ from pyspark.sql import functions as F
 
 from .common import materialise, skew_safe_join
 
+#: The largest mean that is inverted at once: exp(-mean) must stay far from the least double.
+PART_RATE = 600.0
+#: Copies that one array holds before they are exploded.
+COPIES = 4096
 
-def uniform(seed: int, *cols: str) -> Column:
+
+def uniform(seed: int, *cols: str | Column) -> Column:
     """In (0, 1), from 48 bits of the MD5 of the seed and the values."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in cols]
+    parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("~")) for c in cols]
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *parts))
     return (F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 48))
 
@@ -23,8 +29,8 @@ def uniform(seed: int, *cols: str) -> Column:
 def poisson_cdf(rate: Column) -> Column:
     """Cumulative probabilities of 0, 1, 2, ... until the rest is below 2**-50 or so.
 
-    Terms are exp(k ln rate - rate - ln k!), each from the one before, so large rates do not
-    underflow: rates above 600 would, and are refused by :func:`mixing_rates`.
+    Each term comes from the one before, and the first is exp(-rate): it would underflow above 700,
+    so callers split larger rates into parts of at most ``PART_RATE``.
     """
     top = F.ceil(rate + 12 * F.sqrt(rate) + 24).cast("int")
     start = F.struct(F.exp(-rate).alias("p"), F.exp(-rate).alias("c"), F.array(F.exp(-rate)).alias("cdf"))
@@ -58,7 +64,6 @@ def mixing_rates(docs: DataFrame, weights: dict[str, float] | None = None, alpha
     w, b = float(total["w"] or 1) or 1.0, float(total["b"] or 0)
     share = F.col("__raw") / F.lit(w)
     rate = F.when(F.col("__bytes") > 0, share * F.lit(b * scale) / F.col("__bytes")).otherwise(F.lit(1.0))
-    rate = F.when(rate > 600, F.raise_error(F.lit("a repetition rate above 600: raise that source's size or lower its weight"))).otherwise(rate)
     return stats.select("__source", "__rows", "__bytes", share.alias("__weight"), rate.cast("double").alias("__rate"))
 
 
@@ -68,17 +73,26 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, alpha:
     Documents with equal id and text draw the same number of copies; null ids draw by their text.
     A column of ``docs`` named replica or shuffle_key is replaced.  The rows are dealt by
     ``shuffle_key``, a hash, and sorted on it in each partition: a permutation that depends on the
-    seed alone.  An empty table gives an empty result.
+    seed alone.  Rates have no limit but that ``replica`` is an int; the work of drawing grows with
+    the copies drawn.  An empty table gives an empty result.
     """
     kept = [c for c in docs.columns if c not in ("replica", "shuffle_key")]
     rates = mixing_rates(docs, weights, alpha, scale, source_col, text_col)
     total = int(rates.agg(F.sum("__rows")).first()[0] or 0)
-    facts = rates.select(F.coalesce(F.concat(F.lit("="), F.col("__source").cast("string")), F.lit("~")).alias("__key"), "__rows", poisson_cdf(F.col("__rate")).alias("__cdf"))
+    facts = rates.select(F.coalesce(F.concat(F.lit("="), F.col("__source").cast("string")), F.lit("~")).alias("__key"), "__rows", "__rate", F.greatest(F.ceil(F.col("__rate") / PART_RATE), F.lit(1)).cast("int").alias("__parts"))
+    facts = facts.select("__key", "__rows", "__parts", poisson_cdf(F.col("__rate") / F.col("__parts")).alias("__cdf"))
     rows = docs.select(*kept).withColumn("__key", F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("~")))
     rows = rows.withColumn("__text", F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("~"))))
     rows = rows.withColumn("__u", uniform(seed, id_col, "__text"))
     drawn = skew_safe_join(rows, facts, ["__key"], "__rows", total)
-    count = F.aggregate("__cdf", F.lit(0), lambda n, c: F.when(c < F.col("__u"), n + 1).otherwise(n))
-    copies = drawn.withColumn("__n", count).where("__n > 0").withColumn("replica", F.explode(F.sequence(F.lit(1), F.col("__n"))))
+
+    def count(u: Column) -> Column:
+        return F.aggregate("__cdf", F.lit(0), lambda n, c: F.when(c < u, n + 1).otherwise(n))
+
+    further = F.aggregate(F.sequence(F.lit(2), F.col("__parts")), F.lit(0), lambda n, k: n + count(uniform(seed, id_col, "__text", k)))
+    drawn = drawn.withColumn("__n", count(F.col("__u")) + F.when(F.col("__parts") > 1, further).otherwise(F.lit(0)))
+    # In blocks, so that no array holds all copies of a document.
+    blocks = drawn.where("__n > 0").withColumn("__first", F.explode(F.sequence(F.lit(1), F.col("__n"), F.lit(COPIES))))
+    copies = blocks.withColumn("replica", F.explode(F.sequence(F.col("__first"), F.least(F.col("__n"), F.col("__first") + (COPIES - 1)))))
     copies = copies.withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit("deal"), F.coalesce(F.col(id_col).cast("string"), F.lit("~")), "__text", F.col("replica").cast("string"))))
     return copies.select(*kept, "replica", "shuffle_key").repartition("shuffle_key").sortWithinPartitions("shuffle_key")

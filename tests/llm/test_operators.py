@@ -352,6 +352,29 @@ def test_mixing(spark, odd, nothing):
     assert mixing.mix_sources(odd).columns == [*odd.columns, "replica", "shuffle_key"] and mixing.mix_sources(nothing).count() == 0
 
 
+def test_mixing_rates_have_no_limit(spark):
+    """One-row sources beside a large one: rates far above 600, where exp(-rate) is 0, and one just above."""
+    small = spark.createDataFrame([(1000, "x", "tiny"), (1001, "é", None), (1002, "y" * 41, "small")], "doc_id long, text string, source string")
+    docs = spark.range(100).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w"), 200_000).alias("text"), F.lit("large").alias("source")).unionByName(small)
+    rates = {r["__source"]: r["__rate"] for r in mixing.mixing_rates(docs).collect()}
+    assert rates["tiny"] > 4000 and rates[None] > 2800 and 600 < rates["small"] < 750 and rates["large"] < 1.1
+    mixed = mixing.mix_sources(docs).select("doc_id", "source", "replica", "shuffle_key")
+    got = mixed.collect()
+    copies = Counter(r.source for r in got)
+    for name in ("tiny", None, "small"):
+        assert abs(copies[name] - rates[name]) < 5 * rates[name] ** 0.5, name
+        assert sorted(r.replica for r in got if r.source == name) == list(range(1, copies[name] + 1))
+    assert len({r.shuffle_key for r in got}) == len(got) and sorted(map(repr, mixed.collect())) == sorted(map(repr, got))
+
+
+def test_large_rates_stay_poisson(spark):
+    """Mean and variance of many documents at a rate of about 1500, in three parts."""
+    rows = [(k, "x", "tiny") for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    n = np.array([r["count"] for r in mixing.mix_sources(docs, scale=1500.0).groupBy("doc_id").count().collect()])
+    assert len(n) == 400 and abs(n.mean() - 1500) < 10 and 0.7 < n.var() / 1500 < 1.35
+
+
 # 10 -----------------------------------------------------------------------------
 
 
