@@ -4,10 +4,16 @@ Numbers, names and units become typed placeholders; windows of canonical tokens
 with those of the benchmark.  Matches along one alignment must then agree on what fills the slots:
 each benchmark value may stand for one document value only and the other way round.  That finds a
 question asked again with other numbers or names, and rejects chance matches of a bare template.
+
+Texts are compared in two forms, and either finds a leak: ``LITERAL`` leaves names as lower-case words,
+so that copies in another case match; ``TEMPLATE`` makes every capitalised word a name, also at the
+start of a sentence or line.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,41 +21,61 @@ from .common import materialise, row_key
 
 #: Units that may follow a number.
 UNITS = "kg|km|mm|cm|ml|mg|lb|oz|ft|mi|mph|kph|hours?|minutes?|seconds?|days?|weeks?|months?|years?|meters?|metres?|miles?|grams?|litres?|liters?|dollars?|euros?|cents?|percent|degrees?"
-NAMES = r"([\p{Ll}\p{Nd},;:)] )(\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*)"
+NAMES = r"(?<![\p{L}\p{M}\p{Nd}])(\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*)"
 NUMBERS = r"([0-9]+(?:[.,][0-9]+)*)"
 #: Rows that may be broadcast; larger sides are shuffled.
 BROADCAST_ROWS = 500_000
+LITERAL, TEMPLATE = 0, 1
+#: Words that a template must keep besides its placeholders; with fewer it would match by chance.
+LEAST_WORDS = 3
+
 
+def squeezed(text: Column) -> Column:
+    """One plain space for each run of white space; an empty line also ends a name."""
+    return F.regexp_replace(F.regexp_replace(text, r"\n[^\S\n]*\n", "\n.\n"), r"[\s\p{Z}]+", " ")
 
-def canonical(text: Column) -> Column:
-    """Tokens in lower case, with ``\\x01n``, ``\\x01d`` and ``\\x01u`` for names, numbers, units."""
-    x = F.regexp_replace(text, NAMES, "$1 \x01n ")
+
+def canonical(text: Column, form: int) -> Column:
+    """Tokens of a squeezed text in lower case, with ``\\x01n``, ``\\x01d`` and ``\\x01u`` for names, numbers, units."""
+    x = F.regexp_replace(text, NAMES, " \x01n ") if form == TEMPLATE else text
     x = F.regexp_replace(x, NUMBERS, " \x01d ")
     x = F.regexp_replace(x, rf"(\x01d  ?)(?i:{UNITS})\b", "$1 \x01u ")
     # Each step stands once in the expression, so that nothing is computed twice.
     return F.coalesce(F.array_remove(F.split(F.lower(x), r"[^\p{L}\p{M}\x01]+"), ""), F.array().cast("array<string>"))
 
 
-def slot_values(text: Column) -> Column:
+def slot_values(text: Column, form: int) -> Column:
     """What the placeholders of :func:`canonical` stand for, in order."""
-    x = F.regexp_replace(text, NAMES, "$1 \x01$2\x02 ")
+    x = F.regexp_replace(text, NAMES, " \x01$1\x02 ") if form == TEMPLATE else text
     x = F.regexp_replace(x, NUMBERS, " \x01$1\x02 ")
     x = F.regexp_replace(x, rf"(\x01[0-9.,]+\x02  ?)((?i:{UNITS}))\b", "$1 \x01$2\x02 ")
     return F.transform(F.regexp_extract_all(x, F.lit("\x01([^\x02]*)\x02"), 1), F.lower)
 
 
+def _both_forms(df: DataFrame, squeezed_col: str, tokens: str) -> DataFrame:
+    """Two rows for each row: ``__form`` and its tokens."""
+    forms = F.array(*[F.struct(F.lit(f).alias("f"), canonical(F.col(squeezed_col), f).alias("t")) for f in (LITERAL, TEMPLATE)])
+    rest = [c for c in df.columns if c != tokens]
+    return df.select(*rest, F.explode(forms).alias("__x")).select(*rest, F.col("__x.f").alias("__form"), F.col("__x.t").alias(tokens))
+
+
+def _of_form(f: Callable[[int], Column]) -> Column:
+    """``f`` of each row's form."""
+    return F.when(F.col("__form") == TEMPLATE, f(TEMPLATE)).otherwise(f(LITERAL))
+
+
 def _windows(df: DataFrame, tokens: str, widths: list[int], position: str) -> DataFrame:
-    """A row per window of each width: ``df`` without its tokens, and ``__w``, ``position`` (from 1) and ``__h``.
+    """A row per window of each width: ``df`` without its tokens, and ``__w``, ``position`` (from 1) and ``__h``, which differs by form.
 
     Tokens are hashed once; the explode and the windows' hashes stay in generated code.
     """
     rest = [c for c in df.columns if c != tokens]
-    hashed = df.select(*rest, F.transform(tokens, lambda t: F.xxhash64(t)).alias("__hashes")).where(F.size("__hashes") >= min(widths))
+    hashed = df.where(F.size(tokens) >= min(widths)).select(*rest, F.transform(tokens, lambda t: F.xxhash64(t)).alias("__hashes"))
     last = F.size("__hashes") - min(widths) + 1
     each = hashed.select(*rest, "__hashes", F.explode(F.sequence(F.lit(1), last)).alias(position))
 
     def window(w: int) -> Column:
-        return F.xxhash64(F.slice("__hashes", F.col(position), w))
+        return F.xxhash64(F.slice("__hashes", F.col(position), w), F.col("__form"))
 
     if len(widths) == 1:
         return each.select(*rest, F.lit(widths[0]).alias("__w"), position, window(widths[0]).alias("__h"))
@@ -65,42 +91,48 @@ def _within(df: DataFrame) -> DataFrame:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, coverage: float = 0.5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(id, item, matched, windows, coverage, kind), one row per leaking document row and item.
 
-    An item leaks when at least ``coverage`` of its windows of ``width`` tokens occur in the text on
-    alignments whose slots are consistent.  An item with fewer tokens is one window.  ``kind`` is
-    "verbatim" if all slot values are equal, else "re-parameterised".  Null or empty texts and items
+    An item leaks when, in either form, at least ``coverage`` of its windows of ``width`` tokens occur in
+    the text on alignments whose slots are consistent.  An item with fewer tokens is one window.  The
+    figures are of the form with the greater coverage.  ``kind`` is "verbatim" if all its slot values are
+    equal, else "re-parameterised".  Items whose template keeps under ``LEAST_WORDS`` words are looked
+    for by their literal names only.  Null or empty texts and items
     match nothing; repeated document rows give one result row (equal id and text); repeated items
     count once; empty tables give an empty result; other columns are ignored.
     """
     items = benchmark.select(F.col(item_col).alias("__item"), F.col(item_text_col).cast("string").alias("__itext")).where("__itext is not null").distinct()
-    items = items.withColumn("__ikey", row_key("__item", "__itext")).withColumn("__it", canonical(F.col("__itext"))).where(F.size("__it") > 0)
-    items = items.withColumn("__w", F.least(F.lit(width), F.size("__it"))).withColumn("__iv", slot_values(F.col("__itext")))
-    items = materialise(items.withColumn("__n", F.size("__it") - F.col("__w") + 1).drop("__itext"), "leak-items")
+    items = _both_forms(items.select("__item", row_key("__item", "__itext").alias("__ikey"), squeezed(F.col("__itext")).alias("__s")), "__s", "__it").where(F.size("__it") > 0)
+    # Without names the template adds nothing.
+    named = F.array_contains("__it", "\x01n") & (F.size(F.filter("__it", lambda t: ~F.startswith(t, F.lit("\x01")))) >= LEAST_WORDS)
+    items = items.where((F.col("__form") == LITERAL) | named)
+    items = items.withColumn("__w", F.least(F.lit(width), F.size("__it"))).withColumn("__iv", _of_form(lambda f: slot_values(F.col("__s"), f)))
+    items = materialise(items.withColumn("__n", F.size("__it") - F.col("__w") + 1).drop("__s"), "leak-items")
     widths = sorted(r[0] for r in items.select("__w").distinct().collect())  # at most ``width`` values
     empty = f"{docs.select(id_col).schema[0].dataType.simpleString()}"
     if not widths:
         return docs.sparkSession.createDataFrame([], f"{id_col} {empty}, {item_col} {benchmark.schema[item_col].dataType.simpleString()}, matched long, windows int, coverage double, kind string")
 
-    index = _windows(items.select("__ikey", F.col("__w").alias("__own"), "__it"), "__it", widths, "__ipos").where(F.col("__w") == F.col("__own")).drop("__own")
+    index = _windows(items.select("__ikey", "__form", F.col("__w").alias("__own"), "__it"), "__it", widths, "__ipos").where(F.col("__w") == F.col("__own")).drop("__own")
     index = materialise(index, "leak-index")
 
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text")).where("__text is not null")
-    keyed = texts.select("__id", row_key("__id", "__text").alias("__key"), canonical(F.col("__text")).alias("__t"))
-    found = _windows(keyed, "__t", widths, "__pos")
-    found = found.join(_within(index), ["__h", "__w"])
+    keyed = _both_forms(texts.select("__id", row_key("__id", "__text").alias("__key"), squeezed(F.col("__text")).alias("__s")), "__s", "__t")
+    found = _windows(keyed.drop("__s"), "__t", widths, "__pos")
+    found = found.join(_within(index), ["__h", "__w", "__form"])
     # An alignment's windows are at most an item's; identical rows collapse while still in the map.
-    lines = found.groupBy("__id", "__key", "__ikey", (F.col("__pos") - F.col("__ipos")).alias("__shift")).agg(F.collect_set("__ipos").alias("__ipos"))
-    lines = materialise(lines, "leak-alignments").join(_within(items), "__ikey")
+    lines = found.groupBy("__id", "__key", "__ikey", "__form", (F.col("__pos") - F.col("__ipos")).alias("__shift")).agg(F.collect_set("__ipos").alias("__ipos"))
+    lines = materialise(lines, "leak-alignments").join(_within(items), ["__ikey", "__form"])
 
     # Item positions that the alignment covers and that are slots, and each one's ordinal.
     slots = F.filter(F.sequence(F.lit(1), F.size("__it")), lambda p: F.startswith(F.element_at("__it", p), F.lit("\x01")) & F.exists("__ipos", lambda q: (p >= q) & (p < q + F.col("__w"))))
     lines = materialise(lines.withColumn("__slots", F.when(F.exists("__it", lambda t: F.startswith(t, F.lit("\x01"))), slots).otherwise(F.array().cast("array<int>"))), "leak-slots")
-    bare = lines.where(F.size("__slots") == 0).select("__id", "__key", "__ikey", "__item", "__n", "__ipos", F.lit(True).alias("__same"))
+    bare = lines.where(F.size("__slots") == 0).select("__id", "__key", "__ikey", "__form", "__item", "__n", "__ipos", F.lit(True).alias("__same"))
     filled = lines.where(F.size("__slots") > 0)
     # Only documents with slots to compare are read again.
-    wanted = materialise(filled.select("__key").distinct(), "leak-wanted")
-    again = texts.withColumn("__key", row_key("__id", "__text")).join(_within(wanted), "__key", "left_semi").dropDuplicates(["__key"])
-    again = again.select("__key", canonical(F.col("__text")).alias("__t"), slot_values(F.col("__text")).alias("__v"))
-    filled = filled.join(again, "__key")
+    wanted = materialise(filled.select("__key", "__form").distinct(), "leak-wanted")
+    again = texts.withColumn("__key", row_key("__id", "__text")).join(_within(wanted), "__key").dropDuplicates(["__key", "__form"])
+    again = again.select("__key", "__form", squeezed(F.col("__text")).alias("__s"))
+    again = again.select("__key", "__form", _of_form(lambda f: canonical(F.col("__s"), f)).alias("__t"), _of_form(lambda f: slot_values(F.col("__s"), f)).alias("__v"))
+    filled = filled.join(again, ["__key", "__form"])
 
     def value(tokens: str, values: str, p: Column) -> Column:
         return F.try_element_at(F.col(values), F.size(F.filter(F.slice(F.col(tokens), F.lit(1), p), lambda t: F.startswith(t, F.lit("\x01")))))
@@ -108,13 +140,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, coverage:
     pairs = F.array_distinct(F.transform("__slots", lambda p: F.struct(value("__it", "__iv", p).alias("i"), value("__t", "__v", p + F.col("__shift")).alias("d"))))
     filled = filled.withColumn("__pairs", pairs)
     one_to_one = (F.size(F.array_distinct(F.col("__pairs.i"))) == F.size("__pairs")) & (F.size(F.array_distinct(F.col("__pairs.d"))) == F.size("__pairs"))
-    filled = filled.where(one_to_one).select("__id", "__key", "__ikey", "__item", "__n", "__ipos", F.forall("__pairs", lambda x: x["i"] == x["d"]).alias("__same"))
+    filled = filled.where(one_to_one).select("__id", "__key", "__ikey", "__form", "__item", "__n", "__ipos", F.forall("__pairs", lambda x: x["i"] == x["d"]).alias("__same"))
 
     agreed = bare.unionByName(filled)
-    leaks = agreed.groupBy("__id", "__key", "__ikey", "__item", "__n").agg(
+    leaks = agreed.groupBy("__id", "__key", "__ikey", "__form", "__item", "__n").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("__ipos")))).cast("long").alias("matched"), F.bool_and("__same").alias("__same")
     )
-    share = F.col("matched") / F.col("__n")
+    # Of the two forms the one with more coverage, and at a tie the literal one.
+    best = F.struct((F.col("matched") / F.col("__n")).alias("share"), (-F.col("__form")).alias("form"), "matched", "__n", "__same")
+    leaks = leaks.groupBy("__id", "__key", "__ikey", "__item").agg(F.max(best).alias("__best")).select("__id", "__item", "__best.*")
+    share = F.col("share")
     return leaks.where(share >= coverage).select(
         F.col("__id").alias(id_col), F.col("__item").alias(item_col), "matched", F.col("__n").cast("int").alias("windows"), share.cast("double").alias("coverage"), F.when(F.col("__same"), "verbatim").otherwise("re-parameterised").alias("kind")
     )

@@ -244,6 +244,21 @@ def test_leaks(spark, nothing):
     assert decontaminate.find_leaks(nothing, bench).count() == 0 and decontaminate.find_leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_leaks_in_either_form(spark):
+    """Names at the start of sentences, lines and quotes, and copies in another case or wrapped otherwise."""
+    item = "Tom has 5 apples. Tom gives 2 to Ann. How many does Tom have left?"
+    short = "She met Ann in Paris on Monday morning"
+    bob = item.replace("Tom", "Bob")
+    texts = [item, bob, prose(9) + ".\n\nProblem\n\n" + bob, '"' + bob + '"', item.lower(), item.upper(), item.replace(" ", "\n"), item.replace(" ", "  "), short.lower(), short.replace(" ", " \r\n"), "Tom has no pears. How many does Ann have?", prose(30).capitalize() + ". London. Rome."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item), (2, short), (3, "Paris"), (4, "Paris, Rome")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.kind for r in decontaminate.find_leaks(docs, bench).collect()}
+    want = {(k, 1): "verbatim" for k in (0, 4, 5, 6, 7)} | {(k, 1): "re-parameterised" for k in (1, 2, 3)} | {(8, 2): "verbatim", (9, 2): "verbatim"}
+    want |= {(9, 3): "verbatim", (8, 3): "verbatim"}
+    assert got == want
+    assert {r.doc_id for r in decontaminate.drop_leaks(docs, bench).collect()} == {10, 11}
+
+
 # 7 ------------------------------------------------------------------------------
 
 
