@@ -584,8 +584,11 @@ def j1_j2_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def j4_pca(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two principal components of the embeddings."""
-    rows = table(spark, sf_dir, "embeddings").select("vec_id", *[F.col("embedding")[k].cast("double").alias(f"e{k}") for k in range(16)])
-    out = classify.apply_pca(classify.fit_pca(rows, [f"e{k}" for k in range(16)], 2), rows)
+    stored = table(spark, sf_dir, "embeddings")
+    width = stored.agg(F.max(F.size("embedding"))).first()[0] or 0
+    names = [f"e{k}" for k in range(width)]
+    rows = stored.select("vec_id", *[F.col("embedding")[k].cast("double").alias(name) for k, name in enumerate(names)])
+    out = classify.apply_pca(classify.fit_pca(rows, names, 2), rows)
     return out.select("vec_id", r6("deep_pca_00").alias("deep_pca_00"), r6("deep_pca_01").alias("deep_pca_01"))
 
 

@@ -11,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from fieldloom import queries
 from fieldloom.functions import bands, geo, tags
 from fieldloom.operators import catalogue, classify, export, neighbourhood, pixels, resample, samples, vectors
 from fieldloom.plans.features import feature_names, feature_stack
@@ -158,6 +159,17 @@ def test_forest_and_pca(spark):
     assert max(map(abs, out)) < 1e-9 and classify.explained_variance(pca) == pytest.approx(1)
 
 
+def test_pca_query_reads_whole_embeddings(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").orderBy("vec_id").collect()
+    x = np.array([r.embedding for r in rows], float)
+    x -= x.mean(axis=0)
+    axes = np.linalg.svd(x, full_matrices=False)[2][:2]
+    axes *= np.sign(axes[np.arange(2), np.abs(axes).argmax(axis=1)])[:, None]
+    got = np.array([tuple(r)[1:] for r in queries.j4_pca(spark, sf_dir).orderBy("vec_id").collect()])
+    assert x.shape[1] == 64 and np.allclose(got, x @ axes.T, atol=2e-6)
+
+
 def test_masks_partition_the_map(spark):
     image = np.array([[0, 1, 1], [2, 2, 1], [0, 3, 3]])
     square = export.to_square(cells(spark, image, "class_id").withColumn("class_id", F.col("class_id").cast("int")).drop("scene"), (3, 3))
