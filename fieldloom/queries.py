@@ -578,7 +578,7 @@ def j1_j2_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = [f"ndvi_{s}" for s in SCENES]
     stack = pixels.wide_by_scene(filled(spark, sf_dir), ["ndvi"], SCENES).cache()
     train = samples.drop_incomplete(samples.training_samples(labels(spark), stack), names)
-    return classify.predict(classify.train_forest(train, names, trees=20, depth=8), stack, names)
+    return classify.predict(classify.train_forest(train, names), stack, names)
 
 
 @query()

@@ -1,5 +1,6 @@
 """Raster operators on hand-made rasters; the queries' oracles cover the tables."""
 
+import inspect
 import math
 import struct
 from datetime import datetime
@@ -159,6 +160,20 @@ def test_forest_and_pca(spark):
     assert max(map(abs, out)) < 1e-9 and classify.explained_variance(pca) == pytest.approx(1)
 
 
+def test_forest_query_trains_the_whole_forest(spark, monkeypatch):
+    asked, train = [], classify.train_forest
+
+    def small(*args, **kwargs):
+        call = inspect.signature(train).bind(*args, **kwargs)
+        call.apply_defaults()
+        asked.append((call.arguments["trees"], call.arguments["depth"]))
+        return train(*args, **kwargs | {"trees": 3, "depth": 3})
+
+    monkeypatch.setattr(classify, "train_forest", small)
+    assert queries.j1_j2_forest(spark, "/root/testdata/sf0.001").count() == 1600
+    assert asked == [(300, 30)]
+
+
 def test_pca_query_reads_whole_embeddings(spark):
     sf_dir = "/root/testdata/sf0.001"
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").orderBy("vec_id").collect()
