@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import functools
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -19,45 +22,102 @@ HOT_KEYS = 1000
 SLICE_BYTES = 4 << 20
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one only where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="fieldloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+@functools.cache
+def _own_root() -> str:
+    root = tempfile.mkdtemp(prefix="fieldloom-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared scratch folder and read it back.
+def scratch_root(spark: SparkSession) -> str:
+    """The shared folder that ``spark.checkpoint.dir`` names.
 
-    Cuts the lineage with a table that outlives any executor.
+    Where that is unset, a local session gets a temporary folder; on a cluster, whose executors could
+    not see it, this is an error.
     """
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/fieldloom/{name}-{uuid.uuid4().hex}"
-    # Once the table stands, nothing reads the shuffle files behind it again.
-    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
-        df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return _own_root()
 
 
 @contextlib.contextmanager
-def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
+def setting(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings (dots written as ``__``) that hold inside the block only."""
+    keys = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
-def small_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Bound the Arrow batches of this session, so that long texts fit a Python worker."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+class Scratch:
+    """Parquet tables of one call in the shared folder, which cut the lineage and outlive any executor.
+
+    Leaving the block deletes them all but the results, which readers may still need: those go with the
+    session.
+    """
+
+    #: Rows and bytes of an Arrow batch, so that long texts fit a Python worker.
+    ROWS, BYTES = 2000, 4 << 20
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.root = spark, f"{scratch_root(spark)}/fieldloom/{name}-{uuid.uuid4().hex}"
+        self.tables: set[str] = set()
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.drop(*self.tables)
+
+    def _path(self, name: str) -> tuple[Any, Any]:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        self.tables.add(name)
+        rows = min(self.ROWS, int(self.spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")))
+        # Once the table stands, nothing reads the shuffle files behind it again.
+        with setting(self.spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true", spark__sql__execution__arrow__maxRecordsPerBatch=str(rows), spark__sql__execution__arrow__maxBytesPerBatch=str(self.BYTES)):
+            df.write.parquet(f"{self.root}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
+
+    def drop(self, *names: str) -> None:
+        """Delete tables that nothing reads any more."""
+        for name in names:
+            fs, path = self._path(name)
+            fs.delete(path, True)
+            self.tables.discard(name)
+
+    def result(self, df: DataFrame, name: str = "result") -> DataFrame:
+        """Write ``df`` as a table that stays until the session's JVM ends."""
+        out = self.write(df, name)
+        self.tables.discard(name)
+        fs, path = self._path(name)
+        fs.deleteOnExit(path)
+        return out
+
+
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """``names``, each lengthened until no column has it (Spark ignores case)."""
+    held = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in held:
+            name += "_"
+        held.add(name.lower())
+        out.append(name)
+    return out
 
 
 def row_key(*cols: str) -> Column:
@@ -191,13 +251,24 @@ def skew_safe_join(rows: DataFrame, facts: DataFrame, keys: list[str], weight: s
     """
     values = [c for c in facts.columns if c not in keys]
     least = max(total / HOT_KEYS, 64)
-    hot = facts.where(F.col(weight) >= least).select(*keys, F.struct(*values).alias("__hot"))
-    cold = facts.where(F.col(weight) < least).select(*keys, F.lit(0).alias("__salt"), F.struct(*values).alias("__cold"))
-    out = rows.join(F.broadcast(hot), keys, "left")
+    h, c, salt = fresh([*rows.columns, *facts.columns], "__hot", "__cold", "__salt")
+    hot = facts.where(F.col(weight) >= least).select(*keys, F.struct(*values).alias(h))
+    cold = facts.where(F.col(weight) < least).select(*keys, F.lit(0).alias(salt), F.struct(*values).alias(c))
+    out = rows.join(F.broadcast(hot), keys, "left")  # at most HOT_KEYS rows
     spread = F.pmod(F.xxhash64(*[c for c in rows.columns if c not in keys] or keys), F.lit(1 << 20)).cast("int") + 1
-    out = out.withColumn("__salt", F.when(F.col("__hot").isNotNull(), spread).otherwise(F.lit(0)))
-    out = out.join(cold, [*keys, "__salt"], "left")
+    out = out.withColumn(salt, F.when(F.col(h).isNotNull(), spread).otherwise(F.lit(0)))
+    out = out.join(cold, [*keys, salt], "left")
     if how == "inner":
-        out = out.where(F.col("__hot").isNotNull() | F.col("__cold").isNotNull())
-    picked = [F.coalesce(F.col(f"__hot.{c}"), F.col(f"__cold.{c}")).alias(c) for c in values]
+        out = out.where(F.col(h).isNotNull() | F.col(c).isNotNull())
+    picked = [F.coalesce(F.col(f"{h}.{v}"), F.col(f"{c}.{v}")).alias(v) for v in values]
     return out.select(*rows.columns, *picked)
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    return Scratch(df.sparkSession, name).result(df)
+
+
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Bound the Arrow batches of this session, so that long texts fit a Python worker."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, row_key
+from .common import Scratch, fresh, row_key
 
 #: Units that may follow a number.
 UNITS = "kg|km|mm|cm|ml|mg|lb|oz|ft|mi|mph|kph|hours?|minutes?|seconds?|days?|weeks?|months?|years?|meters?|metres?|miles?|grams?|litres?|liters?|dollars?|euros?|cents?|percent|degrees?"
@@ -99,65 +99,71 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, coverage:
     match nothing; repeated document rows give one result row (equal id and text); repeated items
     count once; empty tables give an empty result; other columns are ignored.
     """
-    items = benchmark.select(F.col(item_col).alias("__item"), F.col(item_text_col).cast("string").alias("__itext")).where("__itext is not null").distinct()
-    items = _both_forms(items.select("__item", row_key("__item", "__itext").alias("__ikey"), squeezed(F.col("__itext")).alias("__s")), "__s", "__it").where(F.size("__it") > 0)
-    # Without names the template adds nothing.
-    named = F.array_contains("__it", "\x01n") & (F.size(F.filter("__it", lambda t: ~F.startswith(t, F.lit("\x01")))) >= LEAST_WORDS)
-    items = items.where((F.col("__form") == LITERAL) | named)
-    items = items.withColumn("__w", F.least(F.lit(width), F.size("__it"))).withColumn("__iv", _of_form(lambda f: slot_values(F.col("__s"), f)))
-    items = materialise(items.withColumn("__n", F.size("__it") - F.col("__w") + 1).drop("__s"), "leak-items")
-    widths = sorted(r[0] for r in items.select("__w").distinct().collect())  # at most ``width`` values
-    empty = f"{docs.select(id_col).schema[0].dataType.simpleString()}"
-    if not widths:
-        return docs.sparkSession.createDataFrame([], f"{id_col} {empty}, {item_col} {benchmark.schema[item_col].dataType.simpleString()}, matched long, windows int, coverage double, kind string")
-
-    index = _windows(items.select("__ikey", "__form", F.col("__w").alias("__own"), "__it"), "__it", widths, "__ipos").where(F.col("__w") == F.col("__own")).drop("__own")
-    index = materialise(index, "leak-index")
-
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text")).where("__text is not null")
-    keyed = _both_forms(texts.select("__id", row_key("__id", "__text").alias("__key"), squeezed(F.col("__text")).alias("__s")), "__s", "__t")
-    found = _windows(keyed.drop("__s"), "__t", widths, "__pos")
-    found = found.join(_within(index), ["__h", "__w", "__form"])
-    # An alignment's windows are at most an item's; identical rows collapse while still in the map.
-    lines = found.groupBy("__id", "__key", "__ikey", "__form", (F.col("__pos") - F.col("__ipos")).alias("__shift")).agg(F.collect_set("__ipos").alias("__ipos"))
-    lines = materialise(lines, "leak-alignments").join(_within(items), ["__ikey", "__form"])
-
-    # Item positions that the alignment covers and that are slots, and each one's ordinal.
-    slots = F.filter(F.sequence(F.lit(1), F.size("__it")), lambda p: F.startswith(F.element_at("__it", p), F.lit("\x01")) & F.exists("__ipos", lambda q: (p >= q) & (p < q + F.col("__w"))))
-    lines = materialise(lines.withColumn("__slots", F.when(F.exists("__it", lambda t: F.startswith(t, F.lit("\x01"))), slots).otherwise(F.array().cast("array<int>"))), "leak-slots")
-    bare = lines.where(F.size("__slots") == 0).select("__id", "__key", "__ikey", "__form", "__item", "__n", "__ipos", F.lit(True).alias("__same"))
-    filled = lines.where(F.size("__slots") > 0)
-    # Only documents with slots to compare are read again.
-    wanted = materialise(filled.select("__key", "__form").distinct(), "leak-wanted")
-    again = texts.withColumn("__key", row_key("__id", "__text")).join(_within(wanted), "__key").dropDuplicates(["__key", "__form"])
-    again = again.select("__key", "__form", squeezed(F.col("__text")).alias("__s"))
-    again = again.select("__key", "__form", _of_form(lambda f: canonical(F.col("__s"), f)).alias("__t"), _of_form(lambda f: slot_values(F.col("__s"), f)).alias("__v"))
-    filled = filled.join(again, ["__key", "__form"])
-
-    def value(tokens: str, values: str, p: Column) -> Column:
-        return F.try_element_at(F.col(values), F.size(F.filter(F.slice(F.col(tokens), F.lit(1), p), lambda t: F.startswith(t, F.lit("\x01")))))
-
-    pairs = F.array_distinct(F.transform("__slots", lambda p: F.struct(value("__it", "__iv", p).alias("i"), value("__t", "__v", p + F.col("__shift")).alias("d"))))
-    filled = filled.withColumn("__pairs", pairs)
-    one_to_one = (F.size(F.array_distinct(F.col("__pairs.i"))) == F.size("__pairs")) & (F.size(F.array_distinct(F.col("__pairs.d"))) == F.size("__pairs"))
-    filled = filled.where(one_to_one).select("__id", "__key", "__ikey", "__form", "__item", "__n", "__ipos", F.forall("__pairs", lambda x: x["i"] == x["d"]).alias("__same"))
-
-    agreed = bare.unionByName(filled)
-    leaks = agreed.groupBy("__id", "__key", "__ikey", "__form", "__item", "__n").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("__ipos")))).cast("long").alias("matched"), F.bool_and("__same").alias("__same")
-    )
-    # Of the two forms the one with more coverage, and at a tie the literal one.
-    best = F.struct((F.col("matched") / F.col("__n")).alias("share"), (-F.col("__form")).alias("form"), "matched", "__n", "__same")
-    leaks = leaks.groupBy("__id", "__key", "__ikey", "__item").agg(F.max(best).alias("__best")).select("__id", "__item", "__best.*")
-    share = F.col("share")
-    return leaks.where(share >= coverage).select(
-        F.col("__id").alias(id_col), F.col("__item").alias(item_col), "matched", F.col("__n").cast("int").alias("windows"), share.cast("double").alias("coverage"), F.when(F.col("__same"), "verbatim").otherwise("re-parameterised").alias("kind")
-    )
+    with Scratch(docs.sparkSession, "leaks") as scratch:
+        items = benchmark.select(F.col(item_col).alias("__item"), F.col(item_text_col).cast("string").alias("__itext")).where("__itext is not null").distinct()
+        items = _both_forms(items.select("__item", row_key("__item", "__itext").alias("__ikey"), squeezed(F.col("__itext")).alias("__s")), "__s", "__it").where(F.size("__it") > 0)
+        # Without names the template adds nothing.
+        named = F.array_contains("__it", "\x01n") & (F.size(F.filter("__it", lambda t: ~F.startswith(t, F.lit("\x01")))) >= LEAST_WORDS)
+        items = items.where((F.col("__form") == LITERAL) | named)
+        items = items.withColumn("__w", F.least(F.lit(width), F.size("__it"))).withColumn("__iv", _of_form(lambda f: slot_values(F.col("__s"), f)))
+        items = scratch.write(items.withColumn("__n", F.size("__it") - F.col("__w") + 1).drop("__s"), "items")
+        widths = sorted(r[0] for r in items.select("__w").distinct().collect())  # at most ``width`` values
+        empty = f"{docs.select(id_col).schema[0].dataType.simpleString()}"
+        if not widths:
+            return docs.sparkSession.createDataFrame([], f"{id_col} {empty}, {item_col} {benchmark.schema[item_col].dataType.simpleString()}, matched long, windows int, coverage double, kind string")
+
+        index = _windows(items.select("__ikey", "__form", F.col("__w").alias("__own"), "__it"), "__it", widths, "__ipos").where(F.col("__w") == F.col("__own")).drop("__own")
+        index = scratch.write(index, "index")
+
+        texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text")).where("__text is not null")
+        keyed = _both_forms(texts.select("__id", row_key("__id", "__text").alias("__key"), squeezed(F.col("__text")).alias("__s")), "__s", "__t")
+        found = _windows(keyed.drop("__s"), "__t", widths, "__pos")
+        found = found.join(_within(index), ["__h", "__w", "__form"])
+        # An alignment's windows are at most an item's; identical rows collapse while still in the map.
+        lines = found.groupBy("__id", "__key", "__ikey", "__form", (F.col("__pos") - F.col("__ipos")).alias("__shift")).agg(F.collect_set("__ipos").alias("__ipos"))
+        lines = scratch.write(lines, "alignments").join(_within(items), ["__ikey", "__form"])
+
+        # Item positions that the alignment covers and that are slots, and each one's ordinal.
+        slots = F.filter(F.sequence(F.lit(1), F.size("__it")), lambda p: F.startswith(F.element_at("__it", p), F.lit("\x01")) & F.exists("__ipos", lambda q: (p >= q) & (p < q + F.col("__w"))))
+        lines = scratch.write(lines.withColumn("__slots", F.when(F.exists("__it", lambda t: F.startswith(t, F.lit("\x01"))), slots).otherwise(F.array().cast("array<int>"))), "slots")
+        bare = lines.where(F.size("__slots") == 0).select("__id", "__key", "__ikey", "__form", "__item", "__n", "__ipos", F.lit(True).alias("__same"))
+        filled = lines.where(F.size("__slots") > 0)
+        # Only documents with slots to compare are read again.
+        wanted = scratch.write(filled.select("__key", "__form").distinct(), "wanted")
+        again = texts.withColumn("__key", row_key("__id", "__text")).join(_within(wanted), "__key").dropDuplicates(["__key", "__form"])
+        again = again.select("__key", "__form", squeezed(F.col("__text")).alias("__s"))
+        again = again.select("__key", "__form", _of_form(lambda f: canonical(F.col("__s"), f)).alias("__t"), _of_form(lambda f: slot_values(F.col("__s"), f)).alias("__v"))
+        filled = filled.join(again, ["__key", "__form"])
+
+        def value(tokens: str, values: str, p: Column) -> Column:
+            return F.try_element_at(F.col(values), F.size(F.filter(F.slice(F.col(tokens), F.lit(1), p), lambda t: F.startswith(t, F.lit("\x01")))))
+
+        pairs = F.array_distinct(F.transform("__slots", lambda p: F.struct(value("__it", "__iv", p).alias("i"), value("__t", "__v", p + F.col("__shift")).alias("d"))))
+        filled = filled.withColumn("__pairs", pairs)
+        one_to_one = (F.size(F.array_distinct(F.col("__pairs.i"))) == F.size("__pairs")) & (F.size(F.array_distinct(F.col("__pairs.d"))) == F.size("__pairs"))
+        filled = filled.where(one_to_one).select("__id", "__key", "__ikey", "__form", "__item", "__n", "__ipos", F.forall("__pairs", lambda x: x["i"] == x["d"]).alias("__same"))
+
+        agreed = bare.unionByName(filled)
+        leaks = agreed.groupBy("__id", "__key", "__ikey", "__form", "__item", "__n").agg(
+            F.size(F.array_distinct(F.flatten(F.collect_list("__ipos")))).cast("long").alias("matched"), F.bool_and("__same").alias("__same")
+        )
+        # Of the two forms the one with more coverage, and at a tie the literal one.
+        best = F.struct((F.col("matched") / F.col("__n")).alias("share"), (-F.col("__form")).alias("form"), "matched", "__n", "__same")
+        leaks = leaks.groupBy("__id", "__key", "__ikey", "__item").agg(F.max(best).alias("__best")).select("__id", "__item", "__best.*")
+        share = F.col("share")
+        out = leaks.where(share >= coverage).select(
+            F.col("__id").alias(id_col), F.col("__item").alias(item_col), "matched", F.col("__n").cast("int").alias("windows"), share.cast("double").alias("coverage"), F.when(F.col("__same"), "verbatim").otherwise("re-parameterised").alias("kind")
+        )
+        return scratch.result(out)
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, coverage: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is in no leak; null ids are judged by a stand-in for their text."""
-    own = docs.withColumn("__rid", row_key(id_col, text_col))
-    leaks = find_leaks(own.select("__rid", F.col(text_col)), benchmark, width, coverage, "__rid", text_col)
-    gone = materialise(leaks.select("__rid").distinct(), "leak-gone")
-    return own.join(_within(gone), "__rid", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` in which no item leaks, with all their columns.
+
+    Rows are judged by id and text, so null ids stay apart; null and empty texts stay.
+    """
+    (rid,) = fresh(docs.columns, "__rid")
+    own = docs.withColumn(rid, row_key(id_col, text_col))
+    leaks = find_leaks(own.select(rid, F.col(text_col)), benchmark, width, coverage, rid, text_col)
+    gone = Scratch(docs.sparkSession, "leaks").result(leaks.select(rid).distinct(), "gone")
+    return own.join(_within(gone), rid, "left_anti").select(*docs.columns)

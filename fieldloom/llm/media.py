@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_slices
+from .common import Scratch, text_slices
 
 WIDTH = 64
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
@@ -167,7 +167,6 @@ def cosine_hash(image: np.ndarray, grid: int = 32, keep: int = 8) -> str:
 
 def to_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", level: int = 3) -> DataFrame:
     """(id, media): each row's whole text as PNG in a binary column; null is the empty text."""
-    small_batches(docs.sparkSession)
     kind = docs.select(id_col).schema
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,4 +215,5 @@ def media_column(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     A null text is the empty text, whose payload is 64 zero bytes.  Equal texts give equal values,
     repeated rows and null ids stay, other columns are ignored, an empty table gives an empty one.
     """
-    return read_media(to_media(docs, id_col, text_col), id_col)
+    with Scratch(docs.sparkSession, "media") as scratch:
+        return scratch.result(read_media(to_media(docs, id_col, text_col), id_col))

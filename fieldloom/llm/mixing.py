@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, skew_safe_join
+from .common import Scratch, fresh, skew_safe_join
 
 #: The largest mean that is inverted at once: exp(-mean) must stay far from the least double.
 PART_RATE = 600.0
@@ -53,7 +53,7 @@ def mixing_rates(docs: DataFrame, weights: dict[str, float] | None = None, alpha
     """
     size = F.octet_length(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).cast("long")
     stats = docs.groupBy(F.col(source_col).alias("__source")).agg(F.count("*").alias("__rows"), F.sum(size).alias("__bytes"))
-    stats = materialise(stats, "mixing-sources")
+    stats = Scratch(docs.sparkSession, "mixing").result(stats, "sources")
     if weights is None:
         raw = F.pow(F.col("__bytes").cast("double"), F.lit(alpha))
     else:
@@ -72,8 +72,9 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, alpha:
 
     Documents with equal id and text draw the same number of copies; null ids draw by their text.
     A column of ``docs`` named replica or shuffle_key is replaced.  The rows are dealt by
-    ``shuffle_key``, a hash, and sorted on it in each partition: a permutation that depends on the
-    seed alone.  Rates have no limit but that ``replica`` is an int; the work of drawing grows with
+    ``shuffle_key``, a hash, and sorted on it in each partition.  The counts and keys depend on the seed
+    and the rows alone; which partition a row lies in also depends on the number of partitions, so
+    order by ``shuffle_key`` where the same global order is wanted.  Rates have no limit but that ``replica`` is an int; the work of drawing grows with
     the copies drawn.  An empty table gives an empty result.
     """
     kept = [c for c in docs.columns if c not in ("replica", "shuffle_key")]
@@ -81,18 +82,21 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, alpha:
     total = int(rates.agg(F.sum("__rows")).first()[0] or 0)
     facts = rates.select(F.coalesce(F.concat(F.lit("="), F.col("__source").cast("string")), F.lit("~")).alias("__key"), "__rows", "__rate", F.greatest(F.ceil(F.col("__rate") / PART_RATE), F.lit(1)).cast("int").alias("__parts"))
     facts = facts.select("__key", "__rows", "__parts", poisson_cdf(F.col("__rate") / F.col("__parts")).alias("__cdf"))
-    rows = docs.select(*kept).withColumn("__key", F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("~")))
-    rows = rows.withColumn("__text", F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("~"))))
-    rows = rows.withColumn("__u", uniform(seed, id_col, "__text"))
-    drawn = skew_safe_join(rows, facts, ["__key"], "__rows", total)
+    key, text, draw, cdf, parts, first, n = fresh([*docs.columns, "replica", "shuffle_key"], "__key", "__text", "__u", "__cdf", "__parts", "__first", "__n")
+    facts = facts.select(F.col("__key").alias(key), "__rows", F.col("__parts").alias(parts), F.col("__cdf").alias(cdf))
+    rows = docs.select(*kept).withColumn(key, F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("~")))
+    rows = rows.withColumn(text, F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("~"))))
+    rows = rows.withColumn(draw, uniform(seed, id_col, text))
+    drawn = skew_safe_join(rows, facts.select(key, F.struct(cdf, parts).alias(first), F.col("__rows").alias(n)), [key], n, total).drop(n)
+    drawn = drawn.select(*rows.columns, F.col(f"{first}.{cdf}").alias(cdf), F.col(f"{first}.{parts}").alias(parts))
 
     def count(u: Column) -> Column:
-        return F.aggregate("__cdf", F.lit(0), lambda n, c: F.when(c < u, n + 1).otherwise(n))
+        return F.aggregate(cdf, F.lit(0), lambda n, c: F.when(c < u, n + 1).otherwise(n))
 
-    further = F.aggregate(F.sequence(F.lit(2), F.col("__parts")), F.lit(0), lambda n, k: n + count(uniform(seed, id_col, "__text", k)))
-    drawn = drawn.withColumn("__n", count(F.col("__u")) + F.when(F.col("__parts") > 1, further).otherwise(F.lit(0)))
+    further = F.aggregate(F.sequence(F.lit(2), F.col(parts)), F.lit(0), lambda n, k: n + count(uniform(seed, id_col, text, k)))
+    drawn = drawn.withColumn(n, count(F.col(draw)) + F.when(F.col(parts) > 1, further).otherwise(F.lit(0)))
     # In blocks, so that no array holds all copies of a document.
-    blocks = drawn.where("__n > 0").withColumn("__first", F.explode(F.sequence(F.lit(1), F.col("__n"), F.lit(COPIES))))
-    copies = blocks.withColumn("replica", F.explode(F.sequence(F.col("__first"), F.least(F.col("__n"), F.col("__first") + (COPIES - 1)))))
-    copies = copies.withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit("deal"), F.coalesce(F.col(id_col).cast("string"), F.lit("~")), "__text", F.col("replica").cast("string"))))
+    blocks = drawn.where(F.col(n) > 0).withColumn(first, F.explode(F.sequence(F.lit(1), F.col(n), F.lit(COPIES))))
+    copies = blocks.withColumn("replica", F.explode(F.sequence(F.col(first), F.least(F.col(n), F.col(first) + (COPIES - 1)))))
+    copies = copies.withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit("deal"), F.coalesce(F.col(id_col).cast("string"), F.lit("~")), F.col(text), F.col("replica").cast("string"))))
     return copies.select(*kept, "replica", "shuffle_key").repartition("shuffle_key").sortWithinPartitions("shuffle_key")

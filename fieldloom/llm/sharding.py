@@ -12,7 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import materialise
+from .common import Scratch, fresh
+
+
+#: Text bytes that a file of a written shard holds, about.
+FILE_BYTES = 256 << 20
 
 
 def shard_by_bytes(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -34,7 +38,8 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
     )
     # The ranges come from a sample, so they are written once: both passes must see the same.
     ranged = keyed.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
-    ranged = materialise(ranged, "shard-ranges")
+    scratch = Scratch(docs.sparkSession, "shards")
+    ranged = scratch.write(ranged, "ranges")
     totals = ranged.groupBy("__part").agg(F.sum("size").alias("__bytes"), F.count("*").alias("__rows"))
     before = W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
     whole = W.orderBy("__part").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
@@ -57,7 +62,8 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
         F.least(F.floor((F.col("__b0") + F.col("__b") + F.col("size") / 2) * shards / F.col("__total")), F.lit(shards - 1)).cast("int").alias("shard"),
         (F.col("__r0") + F.col("__r")).alias("__row"),
     )
-    placed = materialise(placed, "shard-places")
+    placed = scratch.result(placed, "places")
+    scratch.drop("ranges")
     first = placed.groupBy("shard").agg(F.min("__row").alias("__first"))  # one row per shard
     return placed.join(F.broadcast(first), "shard").select(
         id_col,
@@ -71,19 +77,27 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 16, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write the documents as ``path/shard=K`` Parquet folders, each in slot order within its files.
+    """Write the documents as ``path/shard=K`` Parquet folders, in slot order within each file.
 
-    A column of ``docs`` named shard is replaced by the folder's.
+    A shard is cut into ranges of slots of about ``FILE_BYTES``, a task and a file each, so no task holds a
+    whole shard.  A column of ``docs`` named shard is replaced by the folder's.  Null texts stay null and
+    repeated rows stay; an empty table writes no folder.
     """
-    kept = [c for c in docs.columns if c != "shard"]
+    kept = [c for c in docs.columns if c.lower() != "shard"]
+    size, crc, copy, slot, part = fresh([*docs.columns, "shard"], "__size", "__crc", "__copy", "__slot", "__part")
+    other = fresh([*docs.columns, "shard", size, crc, copy, slot, part], "__id", "__n", "__c", "__other")
     placed = shard_by_bytes(docs, shards, id_col, text_col)
-    placed = placed.select(F.col(id_col).alias("__id"), F.col("shard").alias("__shard"), F.col("slot").alias("__slot"), F.col("size").alias("__n"), F.col("text_crc32").alias("__c"))
+    placed = placed.select(F.col(id_col).alias(other[0]), "shard", F.col("slot").alias(slot), F.col("size").alias(other[1]), F.col("text_crc32").alias(other[2]))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    marked = docs.select(*kept, (F.octet_length(text) + 1).cast("long").alias("__size"), F.crc32(text.cast("binary")).alias("__crc"))
+    marked = docs.select(*kept, (F.octet_length(text) + 1).cast("long").alias(size), F.crc32(text.cast("binary")).alias(crc))
     # Rows that agree on id, size and checksum are copies; a copy number pairs them one to one.
-    copy = lambda *by: F.row_number().over(W.partitionBy(*by).orderBy(F.lit(1)))
-    left = marked.withColumn("__copy", copy(id_col, "__size", "__crc"))
-    right = placed.withColumn("__other", copy("__id", "__n", "__c"))
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__size") == F.col("__n")) & (F.col("__crc") == F.col("__c")) & (F.col("__copy") == F.col("__other"))
-    out = left.join(right, same).select(*kept, F.col("__shard").alias("shard"), "__slot")
-    out.repartition("shard").sortWithinPartitions("shard", "__slot").drop("__slot").write.partitionBy("shard").parquet(path)
+    number = lambda *by: F.row_number().over(W.partitionBy(*by).orderBy(F.lit(1)))
+    left = marked.withColumn(copy, number(id_col, size, crc))
+    right = placed.withColumn(other[3], number(*other[:3]))
+    same = F.col(id_col).eqNullSafe(F.col(other[0])) & (F.col(size) == F.col(other[1])) & (F.col(crc) == F.col(other[2])) & (F.col(copy) == F.col(other[3]))
+    out = left.join(right, same).select(*kept, "shard", slot, size)
+    total, most = out.agg(F.sum(size), F.max(slot)).first()
+    files = max(1, -(-int(total or 0) // (shards * FILE_BYTES)))
+    out = out.withColumn(part, F.floor(F.col(slot) * files / F.lit((most or 0) + 1)))
+    out = out.repartition(shards * files, "shard", part).sortWithinPartitions("shard", slot)
+    out.drop(slot, size, part).write.partitionBy("shard").parquet(path)

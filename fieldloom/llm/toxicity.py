@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, small_batches, span_hashes, text_bytes, text_slices
+from .common import Scratch, lower_ascii, span_hashes, text_bytes, text_slices
 
 #: Labelled documents that training reads at most, of either label, and bytes of each such document.
 TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_BYTES = 1200, 2400, 12_000
@@ -401,7 +401,6 @@ def score_toxicity(docs: DataFrame, net: Network, id_col: str = "doc_id", text_c
     a word).  Null, empty and wordless texts have no window and the least score.  Repeated rows get
     equal scores; other columns are ignored; an empty table gives an empty result.
     """
-    small_batches(docs.sparkSession)
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     cell = docs.sparkSession.sparkContext.broadcast(net)  # some hundred KB, fixed
 
@@ -412,12 +411,15 @@ def score_toxicity(docs: DataFrame, net: Network, id_col: str = "doc_id", text_c
             yield pa.RecordBatch.from_arrays(columns, [id_col, "score", "windows", "worst_start", "worst_end"])
 
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text"))
-    return rows.mapInArrow(run, f"`{id_col}` {kind}, score double, windows long, worst_start long, worst_end long")
+    scored = rows.mapInArrow(run, f"`{id_col}` {kind}, score double, windows long, worst_start long, worst_end long")
+    return Scratch(docs.sparkSession, "toxicity").result(scored)
 
 
 def drop_toxic(docs: DataFrame, net: Network, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, that score below ``threshold``."""
-    small_batches(docs.sparkSession)
+    """The rows of ``docs``, with all their columns, that score below ``threshold``.
+
+    Null, empty and wordless texts stay, repeated rows are judged alike, an empty table stays empty.
+    """
     cell, schema = docs.sparkSession.sparkContext.broadcast(net), docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

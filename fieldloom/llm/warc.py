@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, skew_safe_join, small_batches
+from .common import Scratch, skew_safe_join
 
 ARCHIVE_BYTES = 4 << 20
 READ_BYTES = 1 << 16
@@ -159,7 +159,7 @@ def plan_records(pages: DataFrame, least: int = 1000, id_col: str = "page_id", p
     rows = pages.select(F.col(id_col).cast("long").alias("__id"), url.alias("__url"), F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("__payload"))
     rows = rows.withColumn("__digest", F.when(F.octet_length("__payload") >= least, F.sha1(F.col("__payload").cast("binary"))).otherwise(F.concat(F.lit("small:"), F.md5(F.concat_ws(":", F.col("__id").cast("string"), F.col("__payload"))))))
     groups = rows.select("__id", "__digest").where(~F.startswith("__digest", F.lit("small:"))).groupBy("__digest").agg(F.max("__id").alias("__last"), F.count("*").alias("__n"))
-    groups = materialise(groups.where("__n > 1"), "warc-groups")
+    groups = Scratch(pages.sparkSession, "warc").result(groups.where("__n > 1"), "groups")
     total = pages.count()
     joined = skew_safe_join(rows, groups, ["__digest"], "__n", total, "left")
     revisit = F.col("__n").isNotNull() & ~F.col("__id").eqNullSafe(F.col("__last"))
@@ -168,7 +168,6 @@ def plan_records(pages: DataFrame, least: int = 1000, id_col: str = "page_id", p
 
 def write_archives(plan: DataFrame, level: int = 3) -> DataFrame:
     """(archive, records, content): archives of about ``ARCHIVE_BYTES`` compressed bytes each."""
-    small_batches(plan.sparkSession, 1000)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, first = [], 0, None
@@ -205,6 +204,14 @@ def read_archives(archives: DataFrame, content_col: str = "content", with_payloa
     return archives.select(content_col).mapInArrow(read, schema + ", payload binary" * with_payload)
 
 
+def _hex_digest(stated: str | None, payload: bytes | None) -> str | None:
+    """The SHA-1 that a record states, else that of its payload; null for a revisit that states none."""
+    kind, _, value = (stated or "").partition(":")
+    if kind.lower() == "sha1":
+        return base64.b32decode(value.upper()).hex() if len(value) == 32 else value.lower()
+    return None if payload is None else hashlib.sha1(payload).hexdigest()
+
+
 def _rows(content: bytes, with_payload: bool) -> Iterator[pa.RecordBatch]:
     names = ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "payload"][: 6 + with_payload]
     types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
@@ -219,7 +226,7 @@ def _rows(content: bytes, with_payload: bool) -> Iterator[pa.RecordBatch]:
         if r["type"] not in ("response", "revisit"):
             continue
         head = r["head"]
-        digest = base64.b32decode(head["warc-payload-digest"].partition(":")[2]).hex()
+        digest = _hex_digest(head.get("warc-payload-digest"), r["payload"])
         rows.append((page(head.get("warc-record-id")), head.get("warc-target-uri"), r["type"], r["payload_bytes"], digest, page(head.get("warc-refers-to")), r["payload"])[: len(names)])
         held += (r["payload_bytes"] or 0) if with_payload else 100
         if held > 1 << 22:
@@ -236,5 +243,5 @@ def archive_pages(pages: DataFrame, least: int = 1000, id_col: str = "page_id",
     are integers, and null ids stay null.  A url column is written if there is one; other columns are
     ignored.  An empty table gives an empty result.
     """
-    archives = materialise(write_archives(plan_records(pages, least, id_col, payload_col)), "warc")
+    archives = Scratch(pages.sparkSession, "warc").result(write_archives(plan_records(pages, least, id_col, payload_col)), "archives")
     return read_archives(archives, with_payload=False)
