@@ -292,12 +292,11 @@ def brute_components(docs):
     for i in range(len(docs)):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if sets[i] and sets[j] and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
-                a, b = ngram_join._find(root, i), ngram_join._find(root, j)
-                root[max(a, b)] = min(a, b)
+            if sets[i] and sets[j] and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both) and root[i] != root[j]:
+                root = [root[j] if r == root[i] else r for r in root]
     out = []
     for i, (k, _) in enumerate(docs):
-        ids = [docs[j][0] for j in range(len(docs)) if ngram_join._find(root, j) == ngram_join._find(root, i) and docs[j][0] is not None]
+        ids = [docs[j][0] for j in range(len(docs)) if root[j] == root[i] and docs[j][0] is not None]
         out.append((k, len(sets[i]), min(ids) if sets[i] and ids else k))
     return sorted(map(repr, out))
 
@@ -339,10 +338,77 @@ def test_trie_finds_all_partners():
     rng = np.random.default_rng(4)
     sets = [np.unique(rng.integers(0, 40, rng.integers(1, 30))) for _ in range(60)]
     sizes = np.array([len(s) for s in sets])
+    link = lambda i, j: 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))
+    for inside in (np.ones(60, bool), np.arange(60) % 3 > 0):
+        trie = ngram_join.Trie(sets, sizes, inside)
+        walkers, found = trie.partners(np.arange(60))
+        assert sorted(zip(walkers.tolist(), found.tolist(), strict=True)) == [(i, j) for i in range(60) for j in range(60) if inside[j] and link(i, j)]
+
+
+def test_walks_skip_what_cannot_link():
+    """Families that share one frequent element: a walker enters its own family's nodes and few others."""
+    rng = np.random.default_rng(5)
+    sets = []
+    for family in range(40):
+        base = 1 + 1000 * (family + 1) + np.arange(100)
+        sets += [np.unique(np.concatenate([[0], rng.choice(base, 95, replace=False)])) for _ in range(10)]
+    sizes = np.array([len(s) for s in sets])
     trie = ngram_join.Trie(sets, sizes)
-    for i, s in enumerate(sets):
-        want = [j for j, t in enumerate(sets) if 100 * len(np.intersect1d(s, t)) >= 80 * len(np.union1d(s, t))]
-        assert sorted(trie.partners(trie.ranks[i], int(sizes[i])).tolist()) == want
+    walkers, found = trie.partners(np.arange(400))
+    assert (walkers // 10 == found // 10).all() and (np.bincount(walkers) > 1).all()
+    nodes = len(trie.parent) - 1
+    assert trie.visited < 400 * nodes / 15, (trie.visited, nodes)
+    far = ngram_join.Trie([*sets, np.arange(5)], np.append(sizes, 5))
+    assert far.partners(np.array([400]))[1].tolist() == [] and far.visited == 0  # too short for all others
+
+
+def test_one_shingle_in_thousands_of_sets(spark, monkeypatch):
+    """A bucket far above a task's sets, most of them strangers: cut by size and chunk, all links found."""
+    monkeypatch.setattr(ngram_join, "BUCKET", 128)
+    rng = random.Random(11)
+    line = "all rights reserved by the one owner"
+    texts = [line + " " + prose(rng.randint(0, 1), rng) for _ in range(1500)]  # three to four shingles, most of them shared
+    base = prose(80, rng)
+    texts += [line + " " + edited(base, 1, rng) for _ in range(300)]
+    got = {r.doc_id: r.component_id for r in ngram_join.jaccard_components(frame(spark, texts)).collect()}
+    sets = [frozenset(zip(*[t.split()[k:] for k in range(5)], strict=False)) for t in texts]
+    different = sorted(set(sets), key=sets.index)
+    root = {s: s for s in different}
+    by = {}
+    for i, s in enumerate(different):
+        for other in {o for x in s for o in by.get(x, ())}:
+            both = len(s & other)
+            if 100 * both >= 80 * (len(s) + len(other) - both) and root[s] != root[other]:
+                old, new = root[s], root[other]
+                root = {k: new if v == old else v for k, v in root.items()}
+        for x in s:
+            by.setdefault(x, []).append(s)
+    least = {}
+    for k, s in enumerate(sets):
+        least.setdefault(root[s], k)
+    assert got == {k: least[root[s]] for k, s in enumerate(sets)}
+
+
+@pytest.fixture(scope="module")
+def clashing(odd):
+    """Columns named like helper columns of the operators."""
+    names = ["__rid", "__key", "__size", "__copy", "__n", "__text", "__hot", "__cold", "__salt", "__u", "__first", "__crc", "__slot", "__part", "replica", "shuffle_key"]
+    return odd.withColumns({n: F.lit(f"own {n}") for n in names})
+
+
+def test_clashing_names(clashing, tmp_path, spark):
+    own = [c for c in clashing.columns if c.startswith("__")]
+    empty = spark.createDataFrame([], "item_id long, text string")
+    net = toxicity.fit_network([], np.zeros(0, bool))
+    for out in (ngram_join.drop_near_copies(clashing), decontaminate.drop_leaks(clashing, empty), mixing.mix_sources(clashing), toxicity.drop_toxic(clashing, net)):
+        assert set(own) <= set(out.columns)
+        rows = out.select(*own).distinct().collect()
+        assert [list(r) for r in rows] == [[f"own {n}" for n in own]]
+    sharding.write_shards(clashing, str(tmp_path / "shards"), 3)
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert back.count() == clashing.count() and [list(r) for r in back.select(*own).distinct().collect()] == [[f"own {n}" for n in own]]
+    assert media.media_column(clashing).count() == clashing.count()
+    assert suffix_dedup.remove_repeats(clashing).count() == clashing.count() == ngram_join.jaccard_components(clashing).count()
 
 
 # 9 ------------------------------------------------------------------------------
@@ -409,7 +475,7 @@ def brute_removed(docs, length=400):
     return out
 
 
-@pytest.mark.parametrize("group", [4096, 2])
+@pytest.mark.parametrize("group", [4096, 2])  # 2: cores grow until a piece is one window
 def test_repeats_against_brute_force(spark, odd, monkeypatch, group):
     monkeypatch.setattr(suffix_dedup, "GROUP", group)
     rng = random.Random(group)
