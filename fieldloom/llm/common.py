@@ -262,13 +262,3 @@ def skew_safe_join(rows: DataFrame, facts: DataFrame, keys: list[str], weight: s
         out = out.where(F.col(h).isNotNull() | F.col(c).isNotNull())
     picked = [F.coalesce(F.col(f"{h}.{v}"), F.col(f"{c}.{v}")).alias(v) for v in values]
     return out.select(*rows.columns, *picked)
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    return Scratch(df.sparkSession, name).result(df)
-
-
-def small_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Bound the Arrow batches of this session, so that long texts fit a Python worker."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -2,12 +2,13 @@
 
 Suffixes that agree on ``LENGTH`` bytes must meet in one task.  Their first LENGTH bytes choose the
 task: the window's anchor is its least GRAM-byte hash, so equal windows have equal anchors, and a run
-of windows with one anchor is a context.  Equal contexts are counted, which settles the inside of
-all repeats.  Contexts whose anchor recurs but which differ are cut at fixed distances from the
-anchor into pieces with a common core; pieces with equal cores are sorted together as suffixes of
-their core-compressed bytes.  The sort has two stages: suffixes smaller than their successor are
-sorted directly, the others are induced by scanning buckets; adjacent common prefixes of LENGTH
-bytes mark repeats.  Groups too large for one task are dealt out again by whole windows.
+of windows with one anchor is a context.  Equal contexts are added up to one with a weight before
+anything is sorted.  Each context whose anchor recurs is cut at fixed distances from the anchor into
+pieces with a core; pieces with equal cores are sorted together as suffixes of their core-compressed
+bytes.  The sort has two stages: suffixes smaller than their successor are sorted directly, the
+others are induced by scanning buckets; runs of adjacent suffixes with a common prefix of LENGTH bytes
+are repeats if their weights add up to two.  A core with too many different pieces for one task is
+made longer, which halves the windows of a piece, until its groups fit or a piece is one window.
 """
 
 from __future__ import annotations
@@ -20,16 +21,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_array, materialise, rolling_hashes, row_key, skew_safe_join, small_batches, text_bytes, text_slices
+from .common import Scratch, binary_array, rolling_hashes, row_key, skew_safe_join, text_bytes, text_slices
 
 LENGTH = 400
 GRAM = 128
-#: Distances from the anchor that share a core; the core is LENGTH + 1 - STEP bytes.
+#: Distances from the anchor that share a core at first; the core is LENGTH + 1 - STEP bytes.  A power of two.
 STEP = 64
-#: Pieces that one group may hold in a task.
+#: Different pieces that one group may hold in a task.
 GROUP = 4096
-#: Bytes that are sorted as one suffix array, or one group.
+#: Bytes that are sorted as one suffix array, or one group; and those of all arrays of a task.
 SORT_BYTES = 1 << 20
+TASK_BYTES = 2 << 20
 _BLOCK = 1 << 20
 
 
@@ -176,18 +178,20 @@ def _sort_directly(text: np.ndarray, places: np.ndarray, most: int) -> np.ndarra
         depth += 7
 
 
-def common_prefix_runs(text: np.ndarray, order: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
-    """For each of ``places`` whether another of them shares ``length`` bytes with it.
+def common_prefix_runs(text: np.ndarray, order: np.ndarray, places: np.ndarray, length: int, weight: np.ndarray | None = None) -> np.ndarray:
+    """For each of ``places`` whether it shares ``length`` bytes with another, or has a weight above 1 itself.
 
     Adjacent suffixes are compared over ``length`` bytes; those between two cuts are one run, in
-    which only ``places`` count.
+    which only ``places`` count, each as often as its weight says.
     """
     n = len(text)
-    wanted = np.zeros(n, bool)
-    wanted[places] = True
-    own = order[wanted[order]]  # suffixes between two of a run share as much, so they can be left out
-    if len(own) < 2:
-        return np.zeros(len(places), bool)
+    which = np.full(n, -1)
+    which[places] = np.arange(len(places))
+    which = which[order]
+    which = which[which >= 0]  # suffixes between two of a run share as much, so they can be left out
+    own = places[which]
+    if not len(own):
+        return np.zeros(0, bool)
     same = np.ones(len(own) - 1, bool)
     a, b = own[:-1], own[1:]
     for k in range(0, length, 8):
@@ -198,9 +202,9 @@ def common_prefix_runs(text: np.ndarray, order: np.ndarray, places: np.ndarray,
         x, y = a[live, None] + step, b[live, None] + step
         same[live] = ((x < n) & (y < n) & (text[np.minimum(x, n - 1)] == text[np.minimum(y, n - 1)])).all(1)
     run = np.concatenate([[0], np.cumsum(~same)])
-    hit = np.zeros(n, bool)
-    hit[own[np.bincount(run)[run] > 1]] = True
-    return hit[places]
+    hit = np.zeros(len(places), bool)
+    hit[which] = np.bincount(run, None if weight is None else weight[which])[run] > 1
+    return hit
 
 
 _DONE = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -226,79 +230,90 @@ def _finish(raw: bytes, low: np.ndarray, high: np.ndarray) -> tuple[int, int, in
     return len(raw), int((ends - starts).sum()), len(starts), digest.hexdigest()
 
 
-_PIECE = pa.struct([("core", pa.binary()), ("low", pa.int32()), ("left", pa.binary()), ("right", pa.binary()), ("solid", pa.bool_())])
-_PIECE_DDL = "array<struct<core: binary, low: int, left: binary, right: binary, solid: boolean>>"
+_PIECES = "core binary, left binary, right binary, anchor long, context binary, far int, n long"
 
 
-def _pieces(raw: bytes, at: int, low: int, high: int, solid: bool) -> Iterator[dict]:
-    """Cut a context by distance from the anchor: windows of a piece all contain its core."""
+def _pieces(raw: bytes, at: int, low: int, high: int) -> Iterator[tuple[bytes, bytes, bytes, int]]:
+    """Cut a context by distance from the anchor: (core, left, right, distance of the first window)."""
     core = LENGTH + 1 - STEP
     for j in range((at - high) // STEP, (at - low) // STEP + 1):
         far, near = min(at - low, j * STEP + STEP - 1), max(at - high, j * STEP)
         a = at - j * STEP  # start of the core
         digest = hashlib.blake2b(raw[a : a + core], digest_size=16, salt=j.to_bytes(8, "little")).digest()
-        yield {"core": digest, "low": at - far, "left": raw[at - far : a], "right": raw[a + core : at - near + LENGTH], "solid": solid}
+        yield digest, raw[at - far : a], raw[a + core : at - near + LENGTH], far
 
 
-def _open_rows(rows: DataFrame, kind: str) -> DataFrame:
-    """Finish documents without open contexts; give the others' pieces, and the text to finish them later."""
+def _halves(core: bytes, left: bytes, right: bytes, far: int, step: int) -> Iterator[tuple[bytes, bytes, bytes, int]]:
+    """A piece of ``step`` distances as two of half as many, whose cores are longer by half a step.
+
+    A window takes so many bytes of ``left`` and step - 1 less so many of ``right``: those that take at
+    least half a step of the left side share that much there, the others share it on the right.
+    """
+    half = step // 2
+    if len(left) >= half:
+        yield hashlib.blake2b(left[-half:], digest_size=16, key=core, salt=b"left").digest(), left[:-half], right[: half - 1], far
+    if len(right) >= half:
+        near = min(len(left), half - 1)
+        yield hashlib.blake2b(right[:half], digest_size=16, key=core, salt=b"right").digest(), left[len(left) - near :], right[half:], far - (len(left) - near)
+
+
+def _piece_batch(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["core", "left", "right", "anchor", "context", "far", "n"])
+
+
+def _cut(rows: DataFrame) -> DataFrame:
+    """The pieces of contexts: rows are (__text, [(anchor, context, at, low, high, n)])."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            data, offsets = text_bytes(batch.column(0))
             out: list[tuple] = []
-            data, offsets = text_bytes(batch.column(2))
-            raw_all = data.tobytes()
-            ids, keys, marks = batch.column(0), batch.column(1), batch.column(3)
-            picked = []
-            for i in range(batch.num_rows):
-                raw = raw_all[offsets[i] : offsets[i + 1]]
-                own = marks[i].as_py() or []
-                low = np.array([m["low"] for m in own if m["whole"]], np.int64)
-                high = np.array([m["high"] for m in own if m["whole"]], np.int64)
-                part = [m for m in own if m["part"]]
-                pieces = [p for m in part for p in _pieces(raw, m["at"], m["low"], m["high"], m["whole"])]
-                picked.append(i)
-                if any(not m["whole"] for m in part):
-                    out.append((None, None, None, None, raw, low.tolist(), high.tolist(), pieces))
-                else:
-                    out.append((*_finish(raw, low, high), None, None, None, pieces))
-                if len(out) >= 200:
-                    yield _open_batch(ids, keys, picked, out)
-                    out, picked = [], []
+            for i, marks in enumerate(batch.column(1)):
+                raw = data[offsets[i] : offsets[i + 1]].tobytes()
+                for m in marks.as_py():
+                    out += [(core, left, right, m["anchor"], m["context"], far, m["n"]) for core, left, right, far in _pieces(raw, m["at"], m["low"], m["high"])]
+                    if len(out) >= 5000:
+                        yield _piece_batch(out)
+                        out = []
             if out:
-                yield _open_batch(ids, keys, picked, out)
+                yield _piece_batch(out)
 
-    return rows.mapInArrow(run, f"__id {kind}, __key binary, {_DONE}, __raw binary, __low array<int>, __high array<int>, __pieces {_PIECE_DDL}")
+    return rows.select("__text", "__marks").mapInArrow(run, _PIECES)
 
 
-def _open_batch(ids: pa.Array, keys: pa.Array, picked: list[int], out: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(_PIECE)]
-    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "__raw", "__low", "__high", "__pieces"]
-    rest = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
-    at = pa.array(picked)
-    return pa.RecordBatch.from_arrays([ids.take(at), keys.take(at), *rest], ["__id", "__key", *names])
+def _halved(pieces: DataFrame, step: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for core, left, right, anchor, context, far, n in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                out += [(*own[:3], anchor, context, own[3], n) for own in _halves(core, left, right, far, step)]
+            if out:
+                yield _piece_batch(out)
+
+    return pieces.select("core", "left", "right", "anchor", "context", "far", "n").mapInArrow(run, _PIECES)
 
 
-def _sorted_windows(pieces: DataFrame) -> DataFrame:
-    """(__key, low, high): windows of pieces (grouped by core) that another piece of the group repeats."""
-    tail = STEP - 1 + len(_core_mark(0))  # bytes of a window with its core written short
+def _sorted_windows(pieces: DataFrame, step: int, tasks: int) -> DataFrame:
+    """(piece, first, last): runs of windows of the different pieces (piece, core, left, right, n) that repeat."""
+    tail = step - 1 + len(_core_mark(0))  # bytes of a window with its core written short
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size, group, last = 0, -1, None
         for batch in batches:
-            for core, key, low, left, right in zip(*[batch.column(k).to_pylist() for k in range(5)], strict=True):
+            for core, piece, left, right, n in zip(*[batch.column(k).to_pylist() for k in range(5)], strict=True):
                 if core != last:
                     if size >= SORT_BYTES:  # groups stay whole
                         yield from _repeats(held, tail)
                         held, size, group = [], 0, -1
                     group, last = group + 1, core
-                held.append((key, low, left, right, group))
+                held.append((piece, left, right, n, group))
                 size += len(left) + len(right) + len(_core_mark(0))
         if held:
             yield from _repeats(held, tail)
 
-    return pieces.select("core", "__key", "low", "left", "right").repartition("core").sortWithinPartitions("core").mapInArrow(run, "__key binary, low int, high int")
+    return pieces.select("core", "piece", "left", "right", "n").repartition(tasks, "core").sortWithinPartitions("core").mapInArrow(run, "piece binary, first int, last int")
 
 
 def _core_mark(group: int) -> bytes:
@@ -307,45 +322,54 @@ def _core_mark(group: int) -> bytes:
 
 
 def _repeats(held: list[tuple], tail: int) -> Iterator[pa.RecordBatch]:
-    text = np.frombuffer(b"".join(left + _core_mark(group) + right for _, _, left, right, group in held), np.uint8)
-    size = np.array([len(left) + len(right) + len(_core_mark(0)) for _, _, left, right, _ in held])
+    text = np.frombuffer(b"".join(left + _core_mark(group) + right for _, left, right, _, group in held), np.uint8)
+    size = np.array([len(left) + len(right) + len(_core_mark(0)) for _, left, right, _, _ in held])
     start = np.cumsum(size) - size
     windows = size - tail + 1
     piece = np.repeat(np.arange(len(held)), windows)
     offset = np.arange(len(piece)) - np.repeat(np.cumsum(windows) - windows, windows)
-    hit = common_prefix_runs(text, two_stage_suffix_array(text, tail), start[piece] + offset, tail)
+    weight = np.array([min(n, 2) for _, _, _, n, _ in held])
+    hit = common_prefix_runs(text, two_stage_suffix_array(text, tail), start[piece] + offset, tail, weight[piece])
     if not hit.any():
         return
     piece, offset = piece[hit], offset[hit]
     # Neighbouring windows of a piece become one row.
-    first = np.append(True, (piece[1:] != piece[:-1]) | (offset[1:] != offset[:-1] + 1))
-    low = np.array([held[i][1] for i in piece[first].tolist()]) + offset[first]
-    count = np.diff(np.append(np.flatnonzero(first), len(piece)))
-    yield pa.RecordBatch.from_arrays([pa.array([held[i][0] for i in piece[first].tolist()], pa.binary()), pa.array(low.astype(np.int32)), pa.array((low + count - 1).astype(np.int32))], ["__key", "low", "high"])
-
+    first = np.flatnonzero(np.append(True, (piece[1:] != piece[:-1]) | (offset[1:] != offset[:-1] + 1)))
+    last = np.append(first[1:], len(piece)) - 1
+    yield pa.RecordBatch.from_arrays([pa.array([held[i][0] for i in piece[first].tolist()], pa.binary()), pa.array(offset[first].astype(np.int32)), pa.array(offset[last].astype(np.int32))], ["piece", "first", "last"])
 
-def _dealt_windows(pieces: DataFrame) -> DataFrame:
-    """The same for groups above GROUP pieces: every window is a row with its digest, and equal ones are counted."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tail = STEP - 1
-        for batch in batches:
-            keys, lows, digests = [], [], []
-            for core, key, low, left, right in zip(*[batch.column(k).to_pylist() for k in range(5)], strict=True):
-                both = left + right
-                for k in range(len(both) - tail + 1):
-                    digests.append(hashlib.blake2b(core + bytes([len(left) - k]) + both[k : k + tail], digest_size=16).digest())
-                    keys.append(key)
-                    lows.append(low + k)
-                if len(keys) > 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(keys, pa.binary()), pa.array(lows, pa.int32())], ["window", "__key", "low"])
-                    keys, lows, digests = [], [], []
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(keys, pa.binary()), pa.array(lows, pa.int32())], ["window", "__key", "low"])
-
-    rows = materialise(pieces.select("core", "__key", "low", "left", "right").mapInArrow(run, "window binary, __key binary, low int"), "suffix-windows")
-    counts = materialise(rows.groupBy("window").agg(F.count("*").alias("__n")).where("__n > 1"), "suffix-window-counts")
-    return skew_safe_join(rows, counts, ["window"], "__n", rows.count()).select("__key", "low", F.col("low").alias("high"))
+def _repeated_distances(pieces: DataFrame, scratch: Scratch) -> list[DataFrame]:
+    """(anchor, context, far, near) of the windows that repeat, by distance from the anchor; a table per step."""
+    out, step = [], STEP
+    while True:
+        name = f"{step}"
+        owned = pieces.withColumn("piece", F.unhex(F.md5(F.concat("core", F.lpad(F.hex(F.octet_length("left")), 4, "0").cast("binary"), "left", "right"))))
+        owned = scratch.write(owned, f"owned-{name}")
+        different = owned.groupBy("core", "piece", "left", "right").agg(F.sum("n").alias("n"), F.count("*").alias("__owners"))
+        different = scratch.write(different, f"different-{name}")
+        groups = different.groupBy("core").agg(F.count("*").alias("__different"), F.sum("n").alias("__all"), F.sum(F.octet_length("left") + F.octet_length("right") + 8).alias("__bytes"))
+        groups = scratch.write(groups.where("__all > 1").drop("__all"), f"groups-{name}")
+        fits = (F.col("__different") <= GROUP) | F.lit(step == 1)
+        small = groups.where(fits)
+        tasks = max(1, -(-int(small.agg(F.sum("__bytes")).first()[0] or 0) // TASK_BYTES))
+        rows = skew_safe_join(different, small, ["core"], "__different", different.count())
+        found = scratch.write(_sorted_windows(rows, step, tasks), f"found-{name}")
+        facts = found.groupBy("piece").agg(F.collect_list(F.struct("first", "last")).alias("__runs")).join(different.select("piece", "__owners"), "piece")
+        hits = skew_safe_join(owned.select("piece", "anchor", "context", "far"), scratch.write(facts, f"runs-{name}"), ["piece"], "__owners", owned.count())
+        hits = hits.select("anchor", "context", "far", F.explode("__runs").alias("r"))
+        out.append(scratch.write(hits.select("anchor", "context", (F.col("far") - F.col("r.first")).alias("far"), (F.col("far") - F.col("r.last")).alias("near")), f"hits-{name}"))
+        if step > 1:
+            large = scratch.write(groups.where(~fits), f"large-{name}")
+            go_on = not large.isEmpty()
+            if go_on:
+                pieces = scratch.write(_halved(skew_safe_join(owned, large, ["core"], "__different", owned.count()), step), f"pieces-{step // 2}")
+        else:
+            go_on = False
+        scratch.drop(*[f"{k}-{name}" for k in ("owned", "different", "groups", "found", "runs", "large", "pieces")])
+        if not go_on:
+            return out
+        step //= 2
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -356,48 +380,45 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kept; repeated rows count as separate places and get equal results; null ids stay; other columns
     are ignored; an empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"))
     texts = texts.withColumn("__key", row_key("__id", "__text"))
-    spots = materialise(_anchor_rows(texts.select("__key", "__text")), "suffix-anchors")
-    spot = F.xxhash64("__key", "low")
-    contexts = spots.groupBy("anchor", "context").agg(F.count("*").alias("__n"), F.min(spot).alias("__first"))
-    contexts = materialise(contexts, "suffix-contexts")
-    anchors = contexts.groupBy("anchor").agg(F.count("*").alias("__different"), F.sum("__n").alias("__all")).where("__all > 1")
-    anchors = materialise(anchors, "suffix-recurring")
-    known = skew_safe_join(contexts, anchors, ["anchor"], "__different", contexts.count())
-    known = materialise(known.select("anchor", "context", "__n", "__first", "__different"), "suffix-known")
-    marked = skew_safe_join(spots, known, ["anchor", "context"], "__n", spots.count())
-    # whole: another equal context exists; part: it goes to the sort, the first of equal ones only.
-    part = (F.col("__different") > 1) & (F.col("__first") == spot)
-    marked = marked.select("__key", F.struct("at", "low", "high", (F.col("__n") > 1).alias("whole"), part.alias("part")).alias("__mark"))
-    marked = marked.where("__mark.whole or __mark.part").groupBy("__key").agg(F.collect_set("__mark").alias("__marks"))
-    joined = texts.join(marked, "__key", "left").select("__id", "__key", "__text", "__marks")
-    state = materialise(_open_rows(joined, kind), "suffix-state")
-
-    # Rows equal in id and text have one key and equal pieces: they count once here, as whole contexts did before.
-    pieces = state.where("size(__pieces) > 0").select("__key", F.explode("__pieces").alias("p")).select("__key", "p.*").dropDuplicates(["__key", "core", "low"])
-    pieces = materialise(pieces, "suffix-pieces")
-    groups = materialise(pieces.groupBy("core").agg(F.count("*").alias("__n"), F.bool_and("solid").alias("__solid")).where("__n > 1 and not __solid"), "suffix-groups")
-    grouped = materialise(skew_safe_join(pieces, groups, ["core"], "__n", pieces.count()), "suffix-grouped")
-    found = _sorted_windows(grouped.where(F.col("__n") <= GROUP)).unionByName(_dealt_windows(grouped.where(F.col("__n") > GROUP)))
-    found = found.groupBy("__key").agg(F.collect_list(F.struct("low", "high")).alias("__more"))
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for i in range(batch.num_rows):
-                more = batch.column(4)[i].as_py() or []
-                low = np.array((batch.column(2)[i].as_py() or []) + [m["low"] for m in more], np.int64)
-                high = np.array((batch.column(3)[i].as_py() or []) + [m["high"] for m in more], np.int64)
-                rows.append(_finish(batch.column(1)[i].as_buffer().to_pybytes(), low, high))
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64(), pa.int64(), pa.int64(), pa.string()], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["__id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-
-    still = state.where("__raw is not null").join(found, "__key", "left").select("__id", "__raw", "__low", "__high", "__more")
-    late = still.mapInArrow(finish, f"__id {kind}, {_DONE}")
-    done = state.where("__raw is null").select("__id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
-    out = done.unionByName(late)
-    return out.select(F.col("__id").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    with Scratch(docs.sparkSession, "suffix") as scratch:
+        spots = scratch.write(_anchor_rows(texts.select("__key", "__text")), "spots")
+        spot = F.xxhash64("__key", "low")
+        contexts = scratch.write(spots.groupBy("anchor", "context").agg(F.count("*").alias("__n"), F.min(spot).alias("__first")), "contexts")
+        # A context without another of its anchor, or a second copy, holds no repeat.
+        anchors = contexts.groupBy("anchor").agg(F.count("*").alias("__different"), F.sum("__n").alias("__all")).where("__all > 1").drop("__all")
+        anchors = scratch.write(anchors, "anchors")
+        known = skew_safe_join(contexts, anchors, ["anchor"], "__different", contexts.count())
+        known = scratch.write(known.select("anchor", "context", "__n", "__first"), "known")
+        scratch.drop("contexts", "anchors")
+        places = skew_safe_join(spots, known, ["anchor", "context"], "__n", spots.count())
+        places = scratch.write(places, "places")
+        scratch.drop("spots")
+        # One of the equal contexts is cut and sorted; its weight stands for the others.
+        chosen = places.where(F.col("__first") == spot).dropDuplicates(["anchor", "context"])
+        chosen = chosen.select("__key", F.struct("anchor", "context", "at", "low", "high", F.col("__n").alias("n")).alias("__mark")).groupBy("__key").agg(F.collect_list("__mark").alias("__marks"))
+        pieces = scratch.write(_cut(texts.join(chosen, "__key").dropDuplicates(["__key"])), f"pieces-{STEP}")
+        hits = _repeated_distances(pieces, scratch)
+        found = hits[0]
+        for more in hits[1:]:
+            found = found.unionByName(more)
+        found = found.groupBy("anchor", "context").agg(F.collect_list(F.struct("far", "near")).alias("__hits"))
+        found = scratch.write(found.join(known.select("anchor", "context", "__n"), ["anchor", "context"]), "repeats")
+        ranges = skew_safe_join(places.select("__key", "anchor", "context", "at"), found, ["anchor", "context"], "__n", places.count())
+        ranges = ranges.select("__key", F.transform("__hits", lambda h: F.struct((F.col("at") - h["far"]).alias("low"), (F.col("at") - h["near"]).alias("high"))).alias("__r"))
+        ranges = ranges.groupBy("__key").agg(F.flatten(F.collect_set("__r")).alias("__ranges"))
+
+        def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                data, offsets = text_bytes(batch.column(1))
+                rows = []
+                for i, own in enumerate(batch.column(2).to_pylist()):
+                    low, high = (np.array([r[k] for r in own or []], np.int64) for k in ("low", "high"))
+                    rows.append(_finish(data[offsets[i] : offsets[i + 1]].tobytes(), low, high))
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64(), pa.int64(), pa.int64(), pa.string()], strict=True)] if rows else [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.string())]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["__id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+        done = texts.join(ranges, "__key", "left").select("__id", "__text", "__ranges").mapInArrow(finish, f"__id {kind}, {_DONE}")
+        return scratch.result(done.select(F.col("__id").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256"))
