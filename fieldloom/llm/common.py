@@ -253,7 +253,9 @@ def skew_safe_join(rows: DataFrame, facts: DataFrame, keys: list[str], weight: s
     least = max(total / HOT_KEYS, 64)
     h, c, salt = fresh([*rows.columns, *facts.columns], "__hot", "__cold", "__salt")
     hot = facts.where(F.col(weight) >= least).select(*keys, F.struct(*values).alias(h))
-    cold = facts.where(F.col(weight) < least).select(*keys, F.lit(0).alias(salt), F.struct(*values).alias(c))
+    # The salt 0 is computed: the optimiser would take a literal out of the join's keys.
+    zero = F.pmod(F.col(weight), F.lit(1)).cast("int")
+    cold = facts.where(F.col(weight) < least).select(*keys, zero.alias(salt), F.struct(*values).alias(c))
     out = rows.join(F.broadcast(hot), keys, "left")  # at most HOT_KEYS rows
     spread = F.pmod(F.xxhash64(*[c for c in rows.columns if c not in keys] or keys), F.lit(1 << 20)).cast("int") + 1
     out = out.withColumn(salt, F.when(F.col(h).isNotNull(), spread).otherwise(F.lit(0)))
