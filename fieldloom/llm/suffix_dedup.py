@@ -230,7 +230,7 @@ def _finish(raw: bytes, low: np.ndarray, high: np.ndarray) -> tuple[int, int, in
     return len(raw), int((ends - starts).sum()), len(starts), digest.hexdigest()
 
 
-_PIECES = "core binary, left binary, right binary, anchor long, context binary, far int, n long"
+_PIECES = "core binary, piece binary, left binary, right binary, anchor long, context binary, far int, n long"
 
 
 def _pieces(raw: bytes, at: int, low: int, high: int) -> Iterator[tuple[bytes, bytes, bytes, int]]:
@@ -258,12 +258,15 @@ def _halves(core: bytes, left: bytes, right: bytes, far: int, step: int) -> Iter
 
 
 def _piece_batch(rows: list[tuple]) -> pa.RecordBatch:
+    """With ``piece``, a digest of core and both sides."""
     types = [pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["core", "left", "right", "anchor", "context", "far", "n"])
+    core, left, right, anchor, context, far, n = (pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))
+    piece = [hashlib.blake2b(b + c, digest_size=16, key=a, salt=len(b).to_bytes(4, "little")).digest() for a, b, c, *_ in rows]
+    return pa.RecordBatch.from_arrays([core, pa.array(piece, pa.binary()), left, right, anchor, context, far, n], ["core", "piece", "left", "right", "anchor", "context", "far", "n"])
 
 
 def _cut(rows: DataFrame) -> DataFrame:
-    """The pieces of contexts: rows are (__text, [(anchor, context, at, low, high, n)])."""
+    """The pieces of contexts: rows have __text and __marks, [(anchor, context, at, low, high, n)]."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -295,25 +298,26 @@ def _halved(pieces: DataFrame, step: int) -> DataFrame:
 
 
 def _sorted_windows(pieces: DataFrame, step: int, tasks: int) -> DataFrame:
-    """(piece, first, last): runs of windows of the different pieces (piece, core, left, right, n) that repeat."""
+    """(piece, owners, first, last): runs of windows that repeat, of the different pieces (core, piece, left, right, n, owners)."""
     tail = step - 1 + len(_core_mark(0))  # bytes of a window with its core written short
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size, group, last = 0, -1, None
         for batch in batches:
-            for core, piece, left, right, n in zip(*[batch.column(k).to_pylist() for k in range(5)], strict=True):
+            for core, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if core != last:
                     if size >= SORT_BYTES:  # groups stay whole
                         yield from _repeats(held, tail)
                         held, size, group = [], 0, -1
                     group, last = group + 1, core
-                held.append((piece, left, right, n, group))
-                size += len(left) + len(right) + len(_core_mark(0))
+                held.append((*row, _core_mark(group)))
+                size += len(row[1]) + len(row[2]) + 8
         if held:
             yield from _repeats(held, tail)
 
-    return pieces.select("core", "piece", "left", "right", "n").repartition(tasks, "core").sortWithinPartitions("core").mapInArrow(run, "piece binary, first int, last int")
+    rows = pieces.select("core", "piece", "left", "right", "n", "owners").repartition(tasks, "core").sortWithinPartitions("core")
+    return rows.mapInArrow(run, "piece binary, owners long, first int, last int")
 
 
 def _core_mark(group: int) -> bytes:
@@ -322,13 +326,14 @@ def _core_mark(group: int) -> bytes:
 
 
 def _repeats(held: list[tuple], tail: int) -> Iterator[pa.RecordBatch]:
-    text = np.frombuffer(b"".join(left + _core_mark(group) + right for _, left, right, _, group in held), np.uint8)
-    size = np.array([len(left) + len(right) + len(_core_mark(0)) for _, left, right, _, _ in held])
+    """Sort the suffixes of (piece, left, right, n, owners, mark) rows and give the runs of windows that repeat."""
+    text = np.frombuffer(b"".join(left + mark + right for _, left, right, _, _, mark in held), np.uint8)
+    size = np.array([len(left) + len(right) + len(mark) for _, left, right, _, _, mark in held])
     start = np.cumsum(size) - size
     windows = size - tail + 1
     piece = np.repeat(np.arange(len(held)), windows)
     offset = np.arange(len(piece)) - np.repeat(np.cumsum(windows) - windows, windows)
-    weight = np.array([min(n, 2) for _, _, _, n, _ in held])
+    weight = np.array([min(row[3], 2) for row in held])
     hit = common_prefix_runs(text, two_stage_suffix_array(text, tail), start[piece] + offset, tail, weight[piece])
     if not hit.any():
         return
@@ -336,40 +341,35 @@ def _repeats(held: list[tuple], tail: int) -> Iterator[pa.RecordBatch]:
     # Neighbouring windows of a piece become one row.
     first = np.flatnonzero(np.append(True, (piece[1:] != piece[:-1]) | (offset[1:] != offset[:-1] + 1)))
     last = np.append(first[1:], len(piece)) - 1
-    yield pa.RecordBatch.from_arrays([pa.array([held[i][0] for i in piece[first].tolist()], pa.binary()), pa.array(offset[first].astype(np.int32)), pa.array(offset[last].astype(np.int32))], ["piece", "first", "last"])
+    own = [held[i] for i in piece[first].tolist()]
+    yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in own], pa.binary()), pa.array([r[4] for r in own], pa.int64()), pa.array(offset[first].astype(np.int32)), pa.array(offset[last].astype(np.int32))], ["piece", "owners", "first", "last"])
 
 
-def _repeated_distances(pieces: DataFrame, scratch: Scratch) -> list[DataFrame]:
-    """(anchor, context, far, near) of the windows that repeat, by distance from the anchor; a table per step."""
-    out, step = [], STEP
+def _repeated_distances(pieces: DataFrame, scratch: Scratch) -> DataFrame:
+    """(anchor, context, far, near) of the windows that repeat, by distance from the anchor.
+
+    Each round sorts the groups that fit and halves the pieces of the others.
+    """
+    out, step = None, STEP
     while True:
-        name = f"{step}"
-        owned = pieces.withColumn("piece", F.unhex(F.md5(F.concat("core", F.lpad(F.hex(F.octet_length("left")), 4, "0").cast("binary"), "left", "right"))))
-        owned = scratch.write(owned, f"owned-{name}")
-        different = owned.groupBy("core", "piece", "left", "right").agg(F.sum("n").alias("n"), F.count("*").alias("__owners"))
-        different = scratch.write(different, f"different-{name}")
+        different = pieces.groupBy("core", "piece", "left", "right").agg(F.sum("n").alias("n"), F.count("*").alias("owners"))
+        different = scratch.write(different, f"different-{step}")
         groups = different.groupBy("core").agg(F.count("*").alias("__different"), F.sum("n").alias("__all"), F.sum(F.octet_length("left") + F.octet_length("right") + 8).alias("__bytes"))
-        groups = scratch.write(groups.where("__all > 1").drop("__all"), f"groups-{name}")
+        groups = scratch.write(groups.where("__all > 1").drop("__all"), f"groups-{step}")
         fits = (F.col("__different") <= GROUP) | F.lit(step == 1)
-        small = groups.where(fits)
-        tasks = max(1, -(-int(small.agg(F.sum("__bytes")).first()[0] or 0) // TASK_BYTES))
-        rows = skew_safe_join(different, small, ["core"], "__different", different.count())
-        found = scratch.write(_sorted_windows(rows, step, tasks), f"found-{name}")
-        facts = found.groupBy("piece").agg(F.collect_list(F.struct("first", "last")).alias("__runs")).join(different.select("piece", "__owners"), "piece")
-        hits = skew_safe_join(owned.select("piece", "anchor", "context", "far"), scratch.write(facts, f"runs-{name}"), ["piece"], "__owners", owned.count())
-        hits = hits.select("anchor", "context", "far", F.explode("__runs").alias("r"))
-        out.append(scratch.write(hits.select("anchor", "context", (F.col("far") - F.col("r.first")).alias("far"), (F.col("far") - F.col("r.last")).alias("near")), f"hits-{name}"))
-        if step > 1:
-            large = scratch.write(groups.where(~fits), f"large-{name}")
-            go_on = not large.isEmpty()
-            if go_on:
-                pieces = scratch.write(_halved(skew_safe_join(owned, large, ["core"], "__different", owned.count()), step), f"pieces-{step // 2}")
-        else:
-            go_on = False
-        scratch.drop(*[f"{k}-{name}" for k in ("owned", "different", "groups", "found", "runs", "large", "pieces")])
-        if not go_on:
+        size, rest, rows = groups.agg(F.sum(F.when(fits, F.col("__bytes"))), F.count_if(~fits), F.sum("__different")).first()
+        tasks = max(1, -(-int(size or 0) // TASK_BYTES))
+        sorted_ = _sorted_windows(skew_safe_join(different, groups.where(fits), ["core"], "__different", int(rows or 0)), step, tasks)
+        runs = sorted_.groupBy("piece", "owners").agg(F.collect_list(F.struct("first", "last")).alias("__runs"))
+        runs = scratch.write(runs, f"runs-{step}")
+        hits = skew_safe_join(pieces.select("piece", "anchor", "context", "far"), runs, ["piece"], "owners", pieces.count())
+        hits = hits.select("anchor", "context", "far", F.explode("__runs").alias("r")).select("anchor", "context", (F.col("far") - F.col("r.first")).alias("far"), (F.col("far") - F.col("r.last")).alias("near"))
+        out = hits if out is None else out.unionByName(hits)
+        scratch.drop(f"different-{step}")
+        if not rest:
             return out
-        step //= 2
+        large = skew_safe_join(pieces, groups.where(~fits), ["core"], "__different", int(rows))
+        pieces, step = scratch.write(_halved(large, step), f"pieces-{step // 2}"), step // 2
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -385,27 +385,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = texts.withColumn("__key", row_key("__id", "__text"))
     with Scratch(docs.sparkSession, "suffix") as scratch:
         spots = scratch.write(_anchor_rows(texts.select("__key", "__text")), "spots")
-        spot = F.xxhash64("__key", "low")
-        contexts = scratch.write(spots.groupBy("anchor", "context").agg(F.count("*").alias("__n"), F.min(spot).alias("__first")), "contexts")
-        # A context without another of its anchor, or a second copy, holds no repeat.
-        anchors = contexts.groupBy("anchor").agg(F.count("*").alias("__different"), F.sum("__n").alias("__all")).where("__all > 1").drop("__all")
-        anchors = scratch.write(anchors, "anchors")
-        known = skew_safe_join(contexts, anchors, ["anchor"], "__different", contexts.count())
-        known = scratch.write(known.select("anchor", "context", "__n", "__first"), "known")
-        scratch.drop("contexts", "anchors")
-        places = skew_safe_join(spots, known, ["anchor", "context"], "__n", spots.count())
-        places = scratch.write(places, "places")
-        scratch.drop("spots")
+        # An anchor that occurs once has no repeat around it.
+        recurring = scratch.write(spots.groupBy("anchor").agg(F.count("*").alias("__n")).where("__n > 1"), "recurring")
+        places = scratch.write(skew_safe_join(spots, recurring, ["anchor"], "__n", spots.count()).drop("__n"), "places")
+        scratch.drop("spots", "recurring")
         # One of the equal contexts is cut and sorted; its weight stands for the others.
-        chosen = places.where(F.col("__first") == spot).dropDuplicates(["anchor", "context"])
-        chosen = chosen.select("__key", F.struct("anchor", "context", "at", "low", "high", F.col("__n").alias("n")).alias("__mark")).groupBy("__key").agg(F.collect_list("__mark").alias("__marks"))
-        pieces = scratch.write(_cut(texts.join(chosen, "__key").dropDuplicates(["__key"])), f"pieces-{STEP}")
-        hits = _repeated_distances(pieces, scratch)
-        found = hits[0]
-        for more in hits[1:]:
-            found = found.unionByName(more)
+        known = places.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min(F.struct("__key", "at", "low", "high")).alias("__one"))
+        known = scratch.write(known, "known")
+        chosen = known.select("__one.__key", F.struct("anchor", "context", "__one.at", "__one.low", "__one.high", "n").alias("__mark")).groupBy("__key").agg(F.collect_list("__mark").alias("__marks"))
+        # Rows equal in id and text have one key; one of them is cut.
+        pieces = _cut(texts.join(chosen, "__key").dropDuplicates(["__key"]))
+        found = _repeated_distances(scratch.write(pieces, f"pieces-{STEP}"), scratch)
         found = found.groupBy("anchor", "context").agg(F.collect_list(F.struct("far", "near")).alias("__hits"))
-        found = scratch.write(found.join(known.select("anchor", "context", "__n"), ["anchor", "context"]), "repeats")
+        found = scratch.write(found.join(known.select("anchor", "context", F.col("n").alias("__n")), ["anchor", "context"]), "repeats")
+        scratch.drop("known")
         ranges = skew_safe_join(places.select("__key", "anchor", "context", "at"), found, ["anchor", "context"], "__n", places.count())
         ranges = ranges.select("__key", F.transform("__hits", lambda h: F.struct((F.col("at") - h["far"]).alias("low"), (F.col("at") - h["near"]).alias("high"))).alias("__r"))
         ranges = ranges.groupBy("__key").agg(F.flatten(F.collect_set("__r")).alias("__ranges"))
