@@ -18,9 +18,13 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, lower_ascii, span_hashes, text_bytes, text_slices
 
-#: Labelled documents that training reads at most, of either label, and bytes of each such document.
-TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_BYTES = 1200, 2400, 12_000
-WINDOW, STRIDE = 32, 24
+#: Labelled documents that training reads at most, of either label.
+TRAIN_TOXIC, TRAIN_CLEAN = 1200, 2400
+#: Of a longer document, training reads so many pieces of so many characters, spread evenly over it.
+TRAIN_PIECES, PIECE = 24, 4000
+#: Parts of the sample that are scored by networks trained on the others, to calibrate scores.
+FOLDS = 3
+WINDOW, STRIDE = 64, 48
 WORDS, GRAMS, DIM, HIDDEN = 1 << 13, 1 << 14, 8, 8
 #: The logit of a text without any word.
 NOTHING = -12.0
@@ -266,111 +270,174 @@ class _Adam:
             self.p[k] -= self.rate * (self.m[k] / (1 - 0.9**self.t)) / (np.sqrt(self.v[k] / (1 - 0.99**self.t)) + 1e-6)
 
 
-def _trusted(net: Network, v: Vocabulary, index: np.ndarray, doc: np.ndarray, toxic: np.ndarray) -> dict[str, np.ndarray]:
-    """Which word and n-gram buckets enough toxic documents hold; the others stay zero, like unknown words."""
+def _start(net: Network, v: Vocabulary, index: np.ndarray, doc: np.ndarray, toxic: np.ndarray, used: np.ndarray) -> dict[str, np.ndarray]:
+    """Start the first embedding dimension from how the labels of the ``used`` documents divide.
+
+    It is the smoothed log odds of a word's or n-gram's documents, in standard errors.  Returns which
+    buckets speak for toxicity and are in enough toxic documents; the others stay zero, like unknown words.
+    """
     size = len(v.word)
-    pairs = np.unique(doc[toxic[doc]].astype(np.int64) * size + index[toxic[doc]])
-    held = np.bincount(pairs % size, minlength=size)
-    least = max(3, int(toxic.sum()) // 200)
-    words, grams = (np.zeros(k, np.int64) for k in (WORDS, GRAMS))
-    np.add.at(words, v.word, held)
-    np.add.at(grams, v.grams, np.repeat(held, np.diff(v.cut)))
-    on = {"words": words >= least, "grams": grams >= least}
-    for k, rows in on.items():
-        net.p[k][~rows] = 0
+    pairs = np.unique(doc[used[doc]].astype(np.int64) * size + index[used[doc]])
+    bad = toxic[pairs // size]
+    held = [np.bincount(pairs[own] % size, minlength=size) for own in (bad, ~bad)]
+    n = [int((toxic & used).sum()), int((~toxic & used).sum())]
+    least = max(3, n[0] // 200)
+    on = {}
+    for k, buckets, where, times in (("words", WORDS, v.word, 1), ("grams", GRAMS, v.grams, np.diff(v.cut))):
+        t, c = (np.minimum(np.bincount(where, np.repeat(h, times), buckets), most) for h, most in zip(held, n, strict=True))
+        on[k] = t >= least
+        t, c = t + n[0] / sum(n), c + n[1] / sum(n)
+        odds = np.log(t / n[0]) - np.log(c / n[1])
+        odds /= np.sqrt(1 / t + 1 / c)
+        on[k] &= odds >= 1
+        net.p[k][:, 0] = 0.5 * np.clip(odds, -3, 3)
+        net.p[k][~on[k]] = 0
     return on
 
 
+@dataclass
+class _Sample:
+    """Windows of the training documents: word numbers, owners and labels."""
+
+    vocabulary: Vocabulary
+    index: np.ndarray
+    doc: np.ndarray
+    windows: np.ndarray
+    owner: np.ndarray
+    toxic: np.ndarray
+
+    def train(self, used: np.ndarray, rounds: int, batch: int, seed: int) -> Network:
+        """A network fitted on the ``used`` documents."""
+        rng, net = np.random.default_rng(seed), Network(seed)
+        on = _start(net, self.vocabulary, self.index, self.doc, self.toxic, used)
+        ids, home = self.windows[used[self.owner]], self.owner[used[self.owner]]
+        adam, bad = _Adam(net.p, 0.01), self.toxic[home]
+        some = lambda rows, n: rng.permutation(rows)[:n]
+        for k in range(rounds):
+            if k == 0:
+                chosen = [some(np.flatnonzero(bad), 4000), some(np.flatnonzero(~bad), 4000)]
+            else:
+                logits = net.window_logits(self.vocabulary, ids)
+                order = np.lexsort((-logits, home))
+                rank = np.arange(len(order)) - np.searchsorted(home[order], home[order])
+                top = order[rank == 0]
+                sure, hard = np.flatnonzero(bad & (logits > 2)), np.flatnonzero(~bad & (logits > -2))
+                chosen = [top[bad[top]], some(sure, 2000), some(top[~bad[top]], 2000), some(hard, 2000), some(np.flatnonzero(~bad), 1000)]
+            chosen = np.unique(np.concatenate(chosen))
+            adam.rate = 0.01 if k < rounds - 2 else 0.003
+            steps = max(30, -(-len(chosen) // batch))
+            pool = np.concatenate([rng.permutation(chosen) for _ in range(-(-steps * batch // len(chosen)))])
+            share = np.clip(bad[chosen].mean(), 0.05, 0.95)
+            for s in range(steps):
+                pick = pool[s * batch : (s + 1) * batch]
+                words, local = np.unique(ids[pick], return_inverse=True)
+                local = local.reshape(len(pick), WINDOW)
+                if words[0] == -1:
+                    words, local = words[1:], local - 1
+                v = self.vocabulary.part(words)
+                x, keep = net.inputs(v), {}
+                out = net.forward(x, local, keep)
+                weight = np.where(bad[pick], 0.5 / share, 0.5 / (1 - share))
+                g = net.backward(v, x, keep, ((_sigmoid(out) - bad[pick]) * weight / len(pick)).astype(np.float32))
+                for name, rows in on.items():
+                    g[name][~rows] = 0
+                adam.step(g)
+        return net
+
+    def worst(self, net: Network, used: np.ndarray) -> np.ndarray:
+        """The worst logit of each ``used`` document."""
+        own = used[self.owner]
+        return _worst(net.window_logits(self.vocabulary, self.windows[own]), self.owner[own], len(used))[used]
+
+
 def fit_network(texts: list[str | None], toxic: np.ndarray, prior: float | None = None, rounds: int = 7, batch: int = 256, seed: int = 5) -> Network:
-    """Train on documents and their labels (0 or 1).  Without both labels the score is a constant.
+    """Train on documents and their labels (0 or 1).  Without two of both labels the score is a constant.
 
-    A quarter of the documents is kept from training and turns logits into scores; ``prior`` is the
-    share of toxic documents there, if the sample has another.
+    All documents train the network.  What turns its logits into scores is fitted on logits that
+    ``FOLDS`` further networks give to the documents they have not seen; ``prior`` is the share of toxic
+    documents there, if the sample has another.
     """
     rng, net = np.random.default_rng(seed), Network(seed)
     toxic = np.asarray(toxic, bool)
     data, offsets = text_bytes(pa.array(texts, pa.string()))
     data = lower_ascii(data)
     starts, ends, doc = _tokens(data, offsets)
-    apart = rng.permutation(len(toxic)) % 4 == 0
-    if not len(starts) or any(not (toxic & own).any() or not (~toxic & own).any() for own in (apart, ~apart)):
+    folds = min(FOLDS, int(toxic.sum()), int((~toxic).sum()))
+    if not len(starts) or folds < 2:
         base = (toxic.sum() + 1) / (len(toxic) + 2)
         net.scale, net.shift = 0.0, float(np.log(base / (1 - base)))
         return net
     vocabulary, index = Vocabulary.of(data, starts, ends)
-    on = _trusted(net, vocabulary, index, doc, toxic & ~apart)
     at, owner = _windows(doc, len(texts))
-    every = np.where(at < 0, -1, index[np.maximum(at, 0)]).astype(np.int32)
-    del data, at, starts, ends, doc
-    ids, home = every[~apart[owner]], owner[~apart[owner]]
-    adam, bad = _Adam(net.p, 0.01), toxic[home]
-    some = lambda rows, n: rng.permutation(rows)[:n]
-    for k in range(rounds):
-        if k < 2:
-            chosen = [some(np.flatnonzero(bad), 8000), some(np.flatnonzero(~bad), 8000)]
-        else:
-            logits = net.window_logits(vocabulary, ids)
-            order = np.lexsort((-logits, home))
-            rank = np.arange(len(order)) - np.searchsorted(home[order], home[order])
-            top = order[rank == 0]
-            sure, hard = np.flatnonzero(bad & (logits > 2)), np.flatnonzero(~bad & (logits > -2))
-            chosen = [top[bad[top]], some(sure, 4000), some(top[~bad[top]], 4000), some(hard, 4000), some(np.flatnonzero(~bad), 2000)]
-        chosen = np.unique(np.concatenate(chosen))
-        adam.rate = 0.01 if k < rounds - 2 else 0.003
-        steps = max(30, -(-len(chosen) // batch))
-        pool = np.concatenate([rng.permutation(chosen) for _ in range(-(-steps * batch // len(chosen)))])
-        share = np.clip(bad[chosen].mean(), 0.05, 0.95)
-        for s in range(steps):
-            pick = pool[s * batch : (s + 1) * batch]
-            used, local = np.unique(ids[pick], return_inverse=True)
-            local = local.reshape(len(pick), WINDOW)
-            if used[0] == -1:
-                used, local = used[1:], local - 1
-            v = vocabulary.part(used)
-            x, keep = net.inputs(v), {}
-            out = net.forward(x, local, keep)
-            weight = np.where(bad[pick], 0.5 / share, 0.5 / (1 - share))
-            g = net.backward(v, x, keep, ((_sigmoid(out) - bad[pick]) * weight / len(pick)).astype(np.float32))
-            for name, rows in on.items():
-                g[name][~rows] = 0
-            adam.step(g)
-    worst = _worst(net.window_logits(vocabulary, every), owner, len(texts))[apart]
-    net.scale, net.shift = _calibrate(worst, toxic[apart], prior)
+    windows = np.where(at < 0, -1, index[np.maximum(at, 0)]).astype(np.int32)
+    del data, at, starts, ends
+    sample = _Sample(vocabulary, index, doc, windows, owner, toxic)
+    part = np.empty(len(toxic), np.int64)
+    for own in (np.flatnonzero(toxic), np.flatnonzero(~toxic)):
+        part[own] = rng.permutation(len(own)) % folds
+    worst = np.empty(len(toxic))
+    for f in range(folds):
+        worst[part == f] = sample.worst(sample.train(part != f, rounds, batch, seed), part == f)
+    net = sample.train(np.ones(len(toxic), bool), rounds, batch, seed)
+    net.scale, net.shift = _calibrate(worst, toxic, prior)
     return net
 
 
+#: The score of a document that is as likely toxic as not.
+EVEN = 0.7
+#: Share of documents whose label says nothing about their worst logit, as far as calibration goes.
+LAPSE = 0.05
+
+
 def _calibrate(worst: np.ndarray, toxic: np.ndarray, prior: float | None) -> tuple[float, float]:
-    """Logistic regression of the label on the worst logit, by Newton steps with a small ridge."""
-    x, y = np.stack([worst, np.ones_like(worst)], 1), toxic.astype(float)
-    share = y.mean()
+    """Slope and intercept of a logistic curve through the labels over the worst logits; even odds score ``EVEN``.
+
+    Of all curves on a grid of slopes and places the likeliest, where each document ignores the curve
+    with probability ``LAPSE``: a few that the networks cannot know do not flatten it.
+    """
+    share = toxic.mean()
     prior = share if prior is None else min(max(prior, 1e-3), 1 - 1e-3)
     weight = np.where(toxic, prior / share, (1 - prior) / (1 - share))
-    w = np.array([1.0, 0.0])
-    ridge = np.diag([1e-3, 1e-6])
-    for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (weight * (p - y)) / len(y) + ridge @ w
-        hess = (x * (weight * p * (1 - p))[:, None]).T @ x / len(y) + ridge + 1e-9 * np.eye(2)
-        step = np.linalg.solve(hess, grad)
-        w = w - step * min(1.0, 2.0 / (np.abs(step).max() + 1e-9))
-    return float(max(w[0], 0.05)), float(w[1])
-
-
-def train_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", keep: Column | None = None, most: tuple[int, int] = (TRAIN_TOXIC, TRAIN_CLEAN), most_bytes: int = TRAIN_BYTES, id_col: str = "doc_id", text_col: str = "text") -> Network:
+    x = np.unique(np.quantile(worst, np.linspace(0, 1, 400)))
+    places = (x[1:] + x[:-1]) / 2 if len(x) > 1 else x
+    # Finite samples: a label counts for a little less than certain.
+    sure = np.where(toxic, (toxic.sum() + 1) / (toxic.sum() + 2), (~toxic).sum() / ((~toxic).sum() + 2))
+    spread = float(np.std(worst)) + 1e-6
+    best = (-np.inf, 1.0, 0.0)
+    for slope in np.geomspace(0.3, 60, 25) / spread:
+        p = LAPSE / 2 + (1 - LAPSE) * _sigmoid(slope * (worst[None, :] - places[:, None]))
+        good = np.where(toxic, sure * np.log(p) + (1 - sure) * np.log(1 - p), sure * np.log(1 - p) + (1 - sure) * np.log(p)) @ weight
+        k = int(good.argmax())
+        best = max(best, (float(good[k]), float(slope), float(-slope * places[k])))
+    return best[1], best[2] + float(np.log(EVEN / (1 - EVEN)))
+
+
+def _spread(text: Column) -> Column:
+    """A text, or of a long one ``TRAIN_PIECES`` pieces at even distances, whole pieces apart by a line break."""
+    pieces = F.ceil(F.length(text) / F.lit(PIECE)).cast("int")
+    at = F.transform(F.sequence(F.lit(0), F.lit(TRAIN_PIECES - 1)), lambda k: F.floor(k * (pieces - 1) / F.lit(TRAIN_PIECES - 1)).cast("int"))
+    some = F.array_join(F.transform(at, lambda k: F.substring(text, k * PIECE + 1, F.lit(PIECE))), "\n")
+    return F.when(pieces <= TRAIN_PIECES, text).otherwise(some)
+
+
+def train_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", keep: Column | None = None, most: tuple[int, int] = (TRAIN_TOXIC, TRAIN_CLEAN), id_col: str = "doc_id", text_col: str = "text") -> Network:
     """Fit on at most ``most`` (toxic, clean) labelled rows, chosen by a hash of the id, for which ``keep`` holds.
 
-    Documents over ``most_bytes`` are left out of training (only there).
+    Null ids and labels do not count; an id whose labels differ counts as toxic; of rows with one id the
+    least text is read, so at most sum(most) rows reach the driver, each of bounded length.  Without two
+    rows of both labels the score is a constant.
     """
     own = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     own = own.where(keep) if keep is not None else own
-    own = own.select(F.col(id_col).alias("__id"), (F.col(label_col) != 0).alias("__y"))
+    own = own.groupBy(F.col(id_col).alias("__id")).agg(F.max((F.col(label_col) != 0).cast("int")).alias("__y"))
     order = [F.md5(F.concat(F.lit("toxicity:"), F.col("__id").cast("string"))), F.col("__id")]
-    picked = own.where("__y").orderBy(*order).limit(most[0]).unionByName(own.where("not __y").orderBy(*order).limit(most[1]))
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text")).where(F.octet_length("__text") <= most_bytes)
-    count = own.agg(F.count("*").alias("n"), F.sum(F.col("__y").cast("int")).alias("t")).first()
+    picked = own.where("__y = 1").orderBy(*order).limit(most[0]).unionByName(own.where("__y = 0").orderBy(*order).limit(most[1]))
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).alias("__id"), text.alias("__text"))
+    count = own.agg(F.count("*").alias("n"), F.sum("__y").alias("t")).first()
     prior = count["t"] / count["n"] if count["n"] else None
-    found = rows.join(F.broadcast(picked), "__id").collect()  # at most sum(most) documents of most_bytes
-    found = sorted(((r["__id"], r["__text"], r["__y"]) for r in found), key=lambda r: (r[0], r[1], r[2]))
+    found = rows.join(F.broadcast(picked), "__id").groupBy("__id", "__y").agg(F.min(_spread(F.col("__text"))).alias("__text")).collect()
+    found = sorted((r["__id"], r["__text"], r["__y"]) for r in found)
     return fit_network([t for _, t, _ in found], np.array([y for *_, y in found], bool), prior)
 
 
