@@ -56,12 +56,25 @@ class Vocabulary:
     cut: np.ndarray  # start of each word's n-grams
 
     @staticmethod
-    def of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[Vocabulary, np.ndarray]:
+    def of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 20_000) -> tuple[Vocabulary, np.ndarray]:
         """And the index into it of every token."""
         hashes = span_hashes(data, starts, ends)
         _, at, index = np.unique(hashes, return_index=True, return_inverse=True)
+        index = index.reshape(-1).astype(np.int32)
+        bucket = (hashes[at] % np.uint64(WORDS)).astype(np.int32)
+        del hashes
         s, e = starts[at], ends[at]
         size = (e - s + 2).astype(np.int32)  # with a mark on either side
+        bounds = np.concatenate([[0], np.cumsum(np.maximum(size - 2, 0) + np.maximum(size - 4, 0))]).astype(np.int64)
+        grams = np.empty(bounds[-1], np.int32)
+        for i in range(0, len(size), block):
+            own = slice(i, min(len(size), i + block))
+            grams[bounds[own.start] : bounds[own.stop]] = Vocabulary._grams(data, s[own], size[own])
+        return Vocabulary(bucket, grams, bounds), index
+
+    @staticmethod
+    def _grams(data: np.ndarray, s: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Buckets of the 3- and 5-grams of marked words, word after word."""
         cut = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
         flat = np.zeros(cut[-1], np.uint8)
         word_of = np.repeat(np.arange(len(size), dtype=np.int32), size)
@@ -75,8 +88,7 @@ class Vocabulary:
             p = np.flatnonzero(place + n <= size[word_of])
             own = word_of[p]
             grams[bounds[own] + (before if n == 3 else before[own]) + place[p]] = (span_hashes(flat, p, p + n) % np.uint64(GRAMS)).astype(np.int32)
-        bucket = (hashes[at] % np.uint64(WORDS)).astype(np.int32)
-        return Vocabulary(bucket, grams, bounds), index.reshape(-1).astype(np.int32)
+        return grams
 
     def part(self, ids: np.ndarray) -> Vocabulary:
         n = np.diff(self.cut)[ids]
@@ -209,7 +221,7 @@ class Network:
         """
         x, h = self.inputs(v), HIDDEN
         half = np.repeat(np.array([0.5, 0.5, 1.0], np.float32), h)  # sigmoid(x) is 0.5 + 0.5 tanh(x / 2)
-        projected = {d: p * half for d, p in self.project(x).items()}
+        projected = {d: x @ (self.p[f"in_{d}"] * half) + self.p[f"bias_{d}"] * half for d in "fb"}
         rec = {d: self.p[f"rec_{d}"] * half for d in "fb"}
         for p in projected.values():
             p[-1, :h] = 30.0
@@ -283,8 +295,15 @@ def _start(net: Network, v: Vocabulary, index: np.ndarray, doc: np.ndarray, toxi
     n = [int((toxic & used).sum()), int((~toxic & used).sum())]
     least = max(3, n[0] // 200)
     on = {}
-    for k, buckets, where, times in (("words", WORDS, v.word, 1), ("grams", GRAMS, v.grams, np.diff(v.cut))):
-        t, c = (np.minimum(np.bincount(where, np.repeat(h, times), buckets), most) for h, most in zip(held, n, strict=True))
+    sums = {"words": np.zeros((2, WORDS)), "grams": np.zeros((2, GRAMS))}
+    for i in range(0, size, 20_000):
+        own = v.part(np.arange(i, min(size, i + 20_000)))
+        for k in (0, 1):
+            part = held[k][i : i + 20_000]
+            sums["words"][k] += np.bincount(own.word, part, WORDS)
+            sums["grams"][k] += np.bincount(own.grams, np.repeat(part, np.diff(own.cut)), GRAMS)
+    for k, both in sums.items():
+        t, c = np.minimum(both[0], n[0]), np.minimum(both[1], n[1])
         on[k] = t >= least
         t, c = t + n[0] / sum(n), c + n[1] / sum(n)
         odds = np.log(t / n[0]) - np.log(c / n[1])
@@ -306,6 +325,17 @@ class _Sample:
     owner: np.ndarray
     toxic: np.ndarray
 
+    def logits(self, net: Network, ids: np.ndarray, block: int = 4096) -> np.ndarray:
+        """Of windows, a block at a time, so that only a block's words have embeddings in memory."""
+        out = np.empty(len(ids), np.float32)
+        for i in range(0, len(ids), block):
+            words, local = np.unique(ids[i : i + block], return_inverse=True)
+            local = local.reshape(-1, WINDOW)
+            if words[0] == -1:
+                words, local = words[1:], local - 1
+            out[i : i + block] = net.window_logits(self.vocabulary.part(words), local)
+        return out
+
     def train(self, used: np.ndarray, rounds: int, batch: int, seed: int) -> Network:
         """A network fitted on the ``used`` documents."""
         rng, net = np.random.default_rng(seed), Network(seed)
@@ -317,7 +347,7 @@ class _Sample:
             if k == 0:
                 chosen = [some(np.flatnonzero(bad), 4000), some(np.flatnonzero(~bad), 4000)]
             else:
-                logits = net.window_logits(self.vocabulary, ids)
+                logits = self.logits(net, ids)
                 order = np.lexsort((-logits, home))
                 rank = np.arange(len(order)) - np.searchsorted(home[order], home[order])
                 top = order[rank == 0]
@@ -347,7 +377,7 @@ class _Sample:
     def worst(self, net: Network, used: np.ndarray) -> np.ndarray:
         """The worst logit of each ``used`` document."""
         own = used[self.owner]
-        return _worst(net.window_logits(self.vocabulary, self.windows[own]), self.owner[own], len(used))[used]
+        return _worst(self.logits(net, self.windows[own]), self.owner[own], len(used))[used]
 
 
 def fit_network(texts: list[str | None], toxic: np.ndarray, prior: float | None = None, rounds: int = 7, batch: int = 256, seed: int = 5) -> Network:
@@ -369,9 +399,10 @@ def fit_network(texts: list[str | None], toxic: np.ndarray, prior: float | None
         return net
     vocabulary, index = Vocabulary.of(data, starts, ends)
     at, owner = _windows(doc, len(texts))
-    windows = np.where(at < 0, -1, index[np.maximum(at, 0)]).astype(np.int32)
-    del data, at, starts, ends
-    sample = _Sample(vocabulary, index, doc, windows, owner, toxic)
+    del data, starts, ends
+    windows = np.concatenate([np.where(at[i : i + 4096] < 0, -1, index[np.maximum(at[i : i + 4096], 0)]).astype(np.int32) for i in range(0, len(at), 4096)])
+    del at
+    sample = _Sample(vocabulary, index, doc.astype(np.int32), windows, owner, toxic)
     part = np.empty(len(toxic), np.int64)
     for own in (np.flatnonzero(toxic), np.flatnonzero(~toxic)):
         part[own] = rng.permutation(len(own)) % folds
