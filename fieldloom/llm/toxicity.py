@@ -289,9 +289,13 @@ def _start(net: Network, v: Vocabulary, index: np.ndarray, doc: np.ndarray, toxi
     buckets speak for toxicity and are in enough toxic documents; the others stay zero, like unknown words.
     """
     size = len(v.word)
-    pairs = np.unique(doc[used[doc]].astype(np.int64) * size + index[used[doc]])
-    bad = toxic[pairs // size]
-    held = [np.bincount(pairs[own] % size, minlength=size) for own in (bad, ~bad)]
+    held = np.zeros((2, size), np.int32)  # toxic and clean documents with each word
+    cut = np.searchsorted(doc, np.arange(0, len(toxic) + 100, 100))
+    for a, b in zip(cut[:-1], cut[1:], strict=True):
+        own = used[doc[a:b]]
+        pairs = np.unique(doc[a:b][own].astype(np.int64) * size + index[a:b][own])
+        for k, bad in enumerate((True, False)):
+            np.add.at(held[k], pairs[toxic[pairs // size] == bad] % size, 1)
     n = [int((toxic & used).sum()), int((~toxic & used).sum())]
     least = max(3, n[0] // 200)
     on = {}
@@ -391,7 +395,7 @@ def fit_network(texts: list[str | None], toxic: np.ndarray, prior: float | None
     toxic = np.asarray(toxic, bool)
     data, offsets = text_bytes(pa.array(texts, pa.string()))
     data = lower_ascii(data)
-    starts, ends, doc = _tokens(data, offsets)
+    starts, ends, doc = (x.astype(np.int32) for x in _tokens(data, offsets))
     folds = min(FOLDS, int(toxic.sum()), int((~toxic).sum()))
     if not len(starts) or folds < 2:
         base = (toxic.sum() + 1) / (len(toxic) + 2)
@@ -402,7 +406,7 @@ def fit_network(texts: list[str | None], toxic: np.ndarray, prior: float | None
     del data, starts, ends
     windows = np.concatenate([np.where(at[i : i + 4096] < 0, -1, index[np.maximum(at[i : i + 4096], 0)]).astype(np.int32) for i in range(0, len(at), 4096)])
     del at
-    sample = _Sample(vocabulary, index, doc.astype(np.int32), windows, owner, toxic)
+    sample = _Sample(vocabulary, index, doc, windows, owner, toxic)
     part = np.empty(len(toxic), np.int64)
     for own in (np.flatnonzero(toxic), np.flatnonzero(~toxic)):
         part[own] = rng.permutation(len(own)) % folds
@@ -469,7 +473,9 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic",
     prior = count["t"] / count["n"] if count["n"] else None
     found = rows.join(F.broadcast(picked), "__id").groupBy("__id", "__y").agg(F.min(_spread(F.col("__text"))).alias("__text")).collect()
     found = sorted((r["__id"], r["__text"], r["__y"]) for r in found)
-    return fit_network([t for _, t, _ in found], np.array([y for *_, y in found], bool), prior)
+    texts, toxic = [t for _, t, _ in found], np.array([y for *_, y in found], bool)
+    del found
+    return fit_network(texts, toxic, prior)
 
 
 def _judge(net: Network, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
