@@ -111,3 +111,17 @@ def utm_inverse(x: Column, y: Column, zone: int, north: bool = True) -> tuple[Co
 
 def utm_zone(lon: float) -> int:
     return int((lon + 180) // 6) % 60 + 1
+
+
+def transform(x: Column, y: Column, source: int, target: int) -> tuple[Column, Column]:
+    """Coordinates from one EPSG code to another: degrees (4326) and UTM zones north (326zz) and south (327zz)."""
+
+    def zone(code: int) -> tuple[int, bool]:
+        if code // 100 not in (326, 327):
+            raise ValueError(f"EPSG {code} is neither 4326 nor a UTM zone")
+        return code % 100, code // 100 == 326
+
+    if source == target:
+        return x, y
+    lon, lat = (x, y) if source == 4326 else utm_inverse(x, y, *zone(source))
+    return (lon, lat) if target == 4326 else utm_forward(lon, lat, *zone(target))

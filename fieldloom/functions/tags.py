@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# What is asked of the map service (selector, class, whether it is a line).
+# What is asked of the map service.
 SELECTORS = (
-    ('way["landuse"="vineyard"]', "vineyard", False),
-    ('relation["landuse"="vineyard"]', "vineyard", False),
-    ('way["landuse"="orchard"]', "orchard", False),
-    ('relation["landuse"="orchard"]', "orchard", False),
-    ('way["landuse"="residential"]', "non_agri", False),
-    ('relation["landuse"="residential"]', "non_agri", False),
-    ('way["natural"="water"]', "non_agri", False),
-    ('relation["natural"="water"]', "non_agri", False),
-    ('way["landuse"="reservoir"]', "non_agri", False),
-    ('way["highway"~"motorway|trunk|primary|secondary"]', "non_agri", True),
+    'way["landuse"="vineyard"]',
+    'relation["landuse"="vineyard"]',
+    'way["landuse"="orchard"]',
+    'relation["landuse"="orchard"]',
+    'way["landuse"="residential"]',
+    'relation["landuse"="residential"]',
+    'way["natural"="water"]',
+    'relation["natural"="water"]',
+    'way["landuse"="reservoir"]',
+    'way["highway"~"motorway|trunk|primary|secondary"]',
 )
 
 
@@ -27,8 +29,18 @@ def tag_class(tags: Column) -> Column:
     return F.when(tag("landuse") == "vineyard", "vineyard").when(tag("landuse") == "orchard", "orchard").when(other, "non_agri")
 
 
+def selected(kind: Column, tags: Column) -> Column:
+    """Whether an element (way or relation) meets any selector."""
+    out = F.lit(False)
+    for selector in SELECTORS:
+        element, key, sign, value = re.fullmatch(r'(\w+)\["(\w+)"([=~])"(.+)"\]', selector).groups()
+        tag = F.try_element_at(tags, F.lit(key))
+        out = out | ((kind == element) & F.coalesce(tag == value if sign == "=" else tag.rlike(value), F.lit(False)))
+    return out
+
+
 def overpass_query(west: Column, south: Column, east: Column, north: Column, timeout: int = 180) -> Column:
     """One query text with all selectors; the service wants south, west, north, east."""
     box = F.concat_ws(",", *[x.cast("string") for x in (south, west, north, east)])
-    parts = [F.concat(F.lit(selector + "("), box, F.lit(");")) for selector, *_ in SELECTORS]
+    parts = [F.concat(F.lit(selector + "("), box, F.lit(");")) for selector in SELECTORS]
     return F.concat(F.lit(f"[out:json][timeout:{timeout}];("), *parts, F.lit(");out geom;"))

@@ -55,6 +55,15 @@ def first_slice(rows: DataFrame, by: list[str], time: str) -> DataFrame:
     return rows.withColumn("__k", F.dense_rank().over(W.partitionBy(*by).orderBy(time))).where("__k = 1").drop("__k")
 
 
+def require_bands(files: DataFrame, scenes: list, bands: list[str]) -> DataFrame:
+    """The chosen files (scene, band, path); an error that names the first missing ones."""
+    held = {(r["scene"], r["band"]) for r in files.select("scene", "band").collect()}  # a row per scene and band
+    missing = [f"{s}/{b}" for s in scenes for b in bands if (s, b) not in held]
+    if missing:
+        raise FileNotFoundError(f"no band file for {', '.join(missing[:5])}")
+    return files.where(F.col("band").isin(bands))
+
+
 def band_files(files: DataFrame, extensions: tuple[str, ...]) -> DataFrame:
     """The file of each (scene, band) by the order of ``extensions``; others do not count."""
     rank = F.array_position(F.array(*[F.lit(x) for x in extensions]), F.col("extension"))

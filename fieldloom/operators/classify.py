@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .samples import SEED, class_weights
@@ -27,13 +24,28 @@ def train_forest(samples: DataFrame, features: list[str], trees: int = 300, dept
     return forest.fit(rows.withColumn(label, F.col(label).cast("double")))
 
 
-def predict(model: RandomForestClassificationModel, cells: DataFrame, features: list[str]) -> DataFrame:
-    """(row, col, class_id): rows with a missing feature are 0 and never reach the model."""
+def or_background(class_id: Column, features: list[str]) -> Column:
+    """The class, or 0 where a feature is missing."""
     whole = F.lit(True)
     for f in features:
         whole = whole & F.col(f).isNotNull()
-    known = model.transform(assemble(cells.where(whole), features)).select("row", "col", F.col("prediction").cast("int").alias("class_id"))
-    return known.unionByName(cells.where(~whole).select("row", "col", F.lit(0).alias("class_id")))
+    return F.when(whole, class_id).otherwise(F.lit(0))
+
+
+def predict(model: RandomForestClassificationModel, cells: DataFrame, features: list[str]) -> DataFrame:
+    """(row, col, class_id) in one pass; rows with a missing feature are 0 whatever the model says."""
+    kept = cells.select("row", "col", or_background(F.lit(1), features).alias("__whole"), *[F.coalesce(F.col(f), F.lit(0.0)).alias(f) for f in features])
+    return model.transform(assemble(kept, features)).select("row", "col", F.when(F.col("__whole") == 1, F.col("prediction").cast("int")).otherwise(0).alias("class_id"))
+
+
+def save_forest(model: RandomForestClassificationModel, classes: DataFrame, path: str) -> None:
+    """The model and the class ids it was trained with, side by side."""
+    model.write().overwrite().save(f"{path}/forest")
+    classes.write.mode("overwrite").parquet(f"{path}/classes")
+
+
+def load_forest(spark: SparkSession, path: str) -> tuple[RandomForestClassificationModel, DataFrame]:
+    return RandomForestClassificationModel.load(f"{path}/forest"), spark.read.parquet(f"{path}/classes")
 
 
 def fit_pca(sample: DataFrame, columns: list[str], components: int = 16) -> PipelineModel:
@@ -60,12 +72,6 @@ def apply_pca(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return out.drop("__raw", "__centred", "__pca")
 
 
-def extract(tiles: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], keys: str, channels: int) -> DataFrame:
-    """Run a feature extractor (any network) over tile rows; it states its width, so the schema is known."""
-    schema = keys + "".join(f", f{k} double" for k in range(channels))
-    return tiles.mapInPandas(run, schema)
-
-
 def clean_key(name: Column) -> Column:
     """A checkpoint's parameter name without its wrapper's prefix."""
     return F.regexp_replace(F.regexp_replace(name, r"^model\.", ""), r"^backbone\.", "")

@@ -8,12 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-
-def reflect(place: Column, size: int) -> Column:
-    """Mirror an index at the edges, edge cells included: -1 is 0, size is size - 1."""
-    period = F.pmod(place, F.lit(2 * size))
-    return F.when(period < size, period).otherwise(2 * size - 1 - period)
+from pyspark.sql import Window as W
 
 
 def _reach(size: int) -> tuple[int, int]:
@@ -21,33 +16,39 @@ def _reach(size: int) -> tuple[int, int]:
     return -(size // 2), size - size // 2 - 1
 
 
-def local_std(cells: DataFrame, value: str, size: int, height: int, width: int, by: tuple[str, ...] = ("scene",)) -> DataFrame:
-    """sqrt(max(0, E[x^2] - E[x]^2)) over a size x size box, edges mirrored; for small boxes.
+def with_local_std(cells: DataFrame, value: str, size: int, height: int, width: int, by: tuple[str, ...] = ("scene",)) -> DataFrame:
+    """Append sqrt(max(0, E[x^2] - E[x]^2)) over a size x size box, edges mirrored.
 
-    A separable sum: every value goes to the ``size`` boxes of its row, the row sums to the ``size``
-    boxes of their column, so a cell costs 2 * size rows and not size * size.
+    Two sliding sums, along rows and then along columns, over cells that only the edges' mirror images
+    add to: two shuffles, no join, and all other columns pass through.
     """
     low, high = _reach(size)
+    v, xx, at, name = "__v", "__xx", "__at", f"{value}_std{size}"
 
-    def spread(df: DataFrame, axis: str, extent: int, sums: list[str]) -> DataFrame:
-        # A target t reads reflect(t + o); the sources of all targets within reach are enumerated from the target side.
+    def slide(df: DataFrame, axis: str, extent: int) -> DataFrame:
         other = "col" if axis == "row" else "row"
-        offsets = F.explode(F.array(*[F.lit(o) for o in range(low, high + 1)]))
-        targets = df.select(*by, "row", "col").withColumn("__o", offsets).withColumn("__src", reflect(F.col(axis) + F.col("__o"), extent).cast("int"))
-        source = df.select(*by, F.col(axis).alias("__src"), other, *sums)
-        return targets.join(source, [*by, "__src", other]).groupBy(*by, "row", "col").agg(*[F.sum(s).alias(s) for s in sums])
+        turns = range(-1 - size // (2 * extent), 2 + size // (2 * extent))
+        images = [x for t in turns for x in (F.col(axis) + 2 * extent * t, -1 - F.col(axis) + 2 * extent * t)]
+        spots = F.filter(F.array(*images), lambda p: (p >= low) & (p < extent + high))
+        frame = W.partitionBy(*by, other).orderBy(at).rangeBetween(low, high)
+        moved = df.withColumn(at, F.explode(spots)).withColumns({v: F.sum(v).over(frame), xx: F.sum(xx).over(frame)})
+        return moved.where(F.col(at) == F.col(axis)).drop(at)
 
     x = F.col(value).cast("double")
-    first = cells.select(*by, "row", "col", x.alias("__x"), (x * x).alias("__xx"))
-    rows = spread(first, "col", width, ["__x", "__xx"])
-    both = spread(rows, "row", height, ["__x", "__xx"])
+    both = slide(slide(cells.withColumns({v: x, xx: x * x}), "col", width), "row", height)
     n = float(size * size)
-    mean = F.col("__x") / n
-    return both.select(*by, "row", "col", F.sqrt(F.greatest(F.col("__xx") / n - mean * mean, F.lit(0.0))).alias(f"{value}_std{size}"))
+    mean = F.col(v) / n
+    return both.withColumn(name, F.sqrt(F.greatest(F.col(xx) / n - mean * mean, F.lit(0.0)))).drop(v, xx)
+
+
+def local_std(cells: DataFrame, value: str, size: int, height: int, width: int, by: tuple[str, ...] = ("scene",)) -> DataFrame:
+    """(by, row, col, <value>_std<size>) of :func:`with_local_std`."""
+    out = with_local_std(cells.select(*by, "row", "col", value), value, size, height, width, by)
+    return out.select(*by, "row", "col", f"{value}_std{size}")
 
 
 def local_std_tiled(cells: DataFrame, value: str, size: int, height: int, width: int, tile: int = 512, by: tuple[str, ...] = ("scene",)) -> DataFrame:
-    """The same on tiles with halos, as numpy box sums: for large boxes and dense rasters.
+    """The same on tiles with halos, as numpy box sums: one shuffle, for large boxes and dense rasters.
 
     A task holds (tile + size)^2 cells of one image at a time.
     """

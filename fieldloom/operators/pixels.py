@@ -20,7 +20,7 @@ def densify(obs: DataFrame, height: int, width: int, scenes: list | None = None)
     The scenes come from ``obs`` unless given; they are few, one per acquisition.
     """
     if scenes is None:
-        scenes = [r[0] for r in obs.select("scene").distinct().orderBy("scene").collect()]
+        scenes = [r[0] for r in scenes_of(obs).collect()]
     kind = obs.schema["scene"].dataType
     spark = obs.sparkSession
     cells = spark.range(height * width).select((F.col("id") / width).cast("int").alias("row"), (F.col("id") % width).cast("int").alias("col"))
@@ -97,7 +97,37 @@ def smooth(cells: DataFrame, value: str = "ndvi") -> DataFrame:
 def zscore(cells: DataFrame, value: str, by: tuple[str, ...] = ("scene",)) -> DataFrame:
     """(x - mean) / (population deviation + 1e-6) within each image; partial sums, then a join of a row per image."""
     stats = cells.groupBy(*by).agg(F.avg(value).alias("__m"), F.stddev_pop(value).alias("__s"))
-    return cells.join(stats, list(by)).withColumn(value, (F.col(value) - F.col("__m")) / (F.col("__s") + 1e-6)).drop("__m", "__s")
+    return cells.join(F.broadcast(stats), list(by)).withColumn(value, (F.col(value) - F.col("__m")) / (F.col("__s") + 1e-6)).drop("__m", "__s")
+
+
+def append_bands(stack: DataFrame, more: DataFrame) -> DataFrame:
+    """The stack with the bands of ``more`` behind its own; bands of the same name are replaced."""
+    new = [c for c in more.columns if c not in PIXEL]
+    return stack.drop(*new).join(more, list(PIXEL))
+
+
+def temporal_median(cells: DataFrame, *values: str) -> DataFrame:
+    """Median of a pixel's present values; NULL where there is none."""
+    return cells.groupBy(*PIXEL).agg(*[F.median(v).alias(v) for v in values])
+
+
+def missing_flags(cells: DataFrame, value: str) -> DataFrame:
+    """(row, col, any_missing, all_missing, valid) over a pixel's scenes."""
+    none = F.col(value).isNull()
+    return cells.groupBy(*PIXEL).agg(F.bool_or(none).alias("any_missing"), F.bool_and(none).alias("all_missing"), F.count(value).alias("valid"))
+
+
+def scenes_of(obs: DataFrame) -> DataFrame:
+    """The distinct scenes in order."""
+    return obs.select("scene").distinct().orderBy("scene")
+
+
+def scene_list(obs: DataFrame) -> list:
+    """The scenes, a row per acquisition; an error if there are none."""
+    out = [r[0] for r in scenes_of(obs).collect()]
+    if not out:
+        raise ValueError("no scenes")
+    return out
 
 
 def composite(cells: DataFrame, *values: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bands import nearest_cell
-from ..functions.geo import Grid
+from ..functions.geo import Grid, transform
 
 
 def attach_nearest(cells: DataFrame, coarse: DataFrame, value: str, size: tuple[int, int], coarse_size: tuple[int, int], by: tuple[str, ...] = ("scene",)) -> DataFrame:
@@ -28,11 +28,12 @@ def resample_nearest(cells: DataFrame, size: tuple[int, int], target: tuple[int,
     return grid.join(cells.select(F.col("row").alias("__r"), F.col("col").alias("__c"), *rest), ["__r", "__c"], "left").select("row", "col", *rest)
 
 
-def bilinear_at(points: DataFrame, cells: DataFrame, value: str, keys: list[str]) -> DataFrame:
+def bilinear_at(points: DataFrame, cells: DataFrame, value: str, keys: list[str], by: tuple[str, ...] = ()) -> DataFrame:
     """Value of fractional places (__y, __x) of ``points``, from up to four neighbours.
 
     Missing neighbours drop out and the weights of the others are scaled up; without any the value
-    is NULL.  ``keys`` identify a point.
+    is NULL.  ``keys`` identify a point.  With ``by``, each group of cells gives its own value, and a
+    point that no cell of a group is near has no row for it.
     """
     y, x = F.floor("__y"), F.floor("__x")
     near = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)])).alias("__n")
@@ -42,26 +43,24 @@ def bilinear_at(points: DataFrame, cells: DataFrame, value: str, keys: list[str]
         (x + F.col("__n.j")).cast("int").alias("__c"),
         (_share(F.col("__y") - y, F.col("__n.i")) * _share(F.col("__x") - x, F.col("__n.j"))).alias("__w"),
     )
-    source = cells.select(F.col("row").alias("__r"), F.col("col").alias("__c"), F.col(value).alias("__v"))
-    joined = four.where("__w > 0").join(source, ["__r", "__c"], "left")
+    source = cells.select(*by, F.col("row").alias("__r"), F.col("col").alias("__c"), F.col(value).alias("__v"))
+    joined = four.where("__w > 0").join(source, ["__r", "__c"], "inner" if by else "left")
     weight = F.when(F.col("__v").isNotNull(), F.col("__w"))
-    return joined.groupBy(*keys).agg((F.sum(F.col("__w") * F.col("__v")) / F.sum(weight)).alias(value))
+    return joined.groupBy(*by, *keys).agg((F.sum(F.col("__w") * F.col("__v")) / F.sum(weight)).alias(value))
 
 
 def _share(part: Column, upper: Column) -> Column:
     return F.when(upper == 1, part).otherwise(1 - part)
 
 
-def reproject(cells: DataFrame, value: str, source: Grid, target: Grid) -> DataFrame:
-    """Bilinear values on the target grid, by affine transforms within one CRS; the same grid is returned as is."""
+def reproject(cells: DataFrame, value: str, source: Grid, target: Grid, by: tuple[str, ...] = ()) -> DataFrame:
+    """Bilinear values on the target grid, also in another CRS; the same grid is returned as is."""
     if source.same_as(target):
-        return cells.select("row", "col", value)
-    if source.epsg != target.epsg:
-        raise ValueError("grids in different CRS: project the centres first (functions.geo)")
+        return cells.select(*by, "row", "col", value)
     grid = cells.sparkSession.range(target.height * target.width).select((F.col("id") / target.width).cast("int").alias("row"), (F.col("id") % target.width).cast("int").alias("col"))
     gx, gy = target.to_ground(F.col("row"), F.col("col"))
-    py, px = source.to_pixel(gx, gy)
-    return bilinear_at(grid.withColumns({"__y": py, "__x": px}), cells, value, ["row", "col"])
+    py, px = source.to_pixel(*transform(gx, gy, target.epsg, source.epsg))
+    return bilinear_at(grid.withColumns({"__y": py, "__x": px}), cells, value, ["row", "col"], by)
 
 
 def upsample(cells: DataFrame, value: str, size: tuple[int, int], target: tuple[int, int]) -> DataFrame:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 SEED = 42
+#: Parts of the hash range by which large classes are counted.
+BUCKETS = 1 << 14
 
 
 def order_hash(key: Column, seed: int = SEED) -> Column:
@@ -33,17 +37,33 @@ def incomplete_counts(samples: DataFrame, features: list[str], by: str = "class_
     return samples.groupBy(by).agg(F.count_if(~missing).alias("kept"), F.count_if(missing).alias("dropped"))
 
 
+def _first_of_class(rows: DataFrame, by: str, key: str, quota: Callable[[Column], Column], seed: int) -> DataFrame:
+    """Append ``__first``: whether a row is among the first quota(n) of its class's n rows by hash and key.
+
+    Rows are ranked within class and hash bucket, so no task sees a whole class; counts by bucket, at
+    most ``BUCKETS`` a class, tell where the quota ends.
+    """
+    order = order_hash(F.col(key), seed)
+    keyed = rows.withColumn("__bucket", F.floor(order * BUCKETS / F.lit(1 << 31)).cast("int"))
+    counts = keyed.groupBy(F.col(by).alias("__class"), F.col("__bucket").alias("__end")).agg(F.count("*").alias("__n"))
+    before = W.partitionBy("__class").orderBy("__end").rowsBetween(W.unboundedPreceding, -1)
+    counts = counts.withColumns({"__before": F.coalesce(F.sum("__n").over(before), F.lit(0)), "__all": F.sum("__n").over(W.partitionBy("__class"))})
+    counts = counts.withColumn("__rest", quota(F.col("__all")) - F.col("__before")).where("__rest >= 0 and __rest < __n")
+    ends = counts.select("__class", "__end", "__rest")  # a row per class, or none if all its rows are first
+    rank = F.row_number().over(W.partitionBy(by, "__bucket").orderBy(order, key))
+    joined = keyed.withColumn("__rank", rank).join(F.broadcast(ends), F.col(by).eqNullSafe(F.col("__class")), "left")
+    first = F.col("__end").isNull() | (F.col("__bucket") < F.col("__end")) | ((F.col("__bucket") == F.col("__end")) & (F.col("__rank") <= F.col("__rest")))
+    return joined.select(*rows.columns, first.alias("__first"))
+
+
 def cap_per_class(rows: DataFrame, most: int, by: str = "class_name", key: str = "fid", seed: int = SEED) -> DataFrame:
     """At most ``most`` rows of each class, picked by a hash; smaller classes stay whole."""
-    rank = F.row_number().over(W.partitionBy(by).orderBy(order_hash(F.col(key), seed), key))
-    return rows.withColumn("__k", rank).where(F.col("__k") <= most).drop("__k")
+    return _first_of_class(rows, by, key, lambda n: F.least(n, F.lit(most)), seed).where("__first").drop("__first")
 
 
 def stratified_split(rows: DataFrame, by: str, key: str, share: float = 0.25, seed: int = SEED) -> DataFrame:
     """Append ``held_out``: round(share * n) rows of each class, exactly."""
-    whole = W.partitionBy(by)
-    rank = F.row_number().over(whole.orderBy(order_hash(F.col(key), seed), key))
-    return rows.withColumn("held_out", rank <= F.floor(F.count("*").over(whole) * share + 0.5))
+    return _first_of_class(rows, by, key, lambda n: F.floor(n * share + 0.5), seed).withColumnRenamed("__first", "held_out")
 
 
 def sample_per_tile(cells: DataFrame, total: int, tiles: int, by: tuple[str, ...] = ("tile_row", "tile_col"), seed: int = SEED) -> DataFrame:

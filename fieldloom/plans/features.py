@@ -7,12 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions.bands import is_bad, masked, ndvi, reflectance
-from ..operators.neighbourhood import local_std, local_std_tiled
+from ..operators.neighbourhood import with_local_std
 from ..operators.pixels import PIXEL, densify
 
-#: From this box size on, texture runs on numpy tiles.
-LARGE_BOX = 15
-
 
 def feature_names(scenes: list, bands: list[str], size: int = 5, spectral: bool = True, spatial: bool = True, temporal: bool = True) -> list[str]:
     """The columns of a feature stack, in their fixed order."""
@@ -27,7 +24,12 @@ def filled_cells(obs: DataFrame, height: int, width: int, scenes: list, bands: d
     """Dense cells with masked, gap-filled reflectances and index.
 
     ``bands`` maps feature names to columns; red and nir are read for the index even if not among them.
+    A band without a column is missing in all scenes; without red or nir this is an error.
     """
+    for c in (red, nir):
+        if c not in obs.columns:
+            raise ValueError(f"no band {c}")
+    obs = obs.withColumns({c: F.lit(None).cast("double") for c in bands.values() if c not in obs.columns})
     cells = densify(obs, height, width, scenes)
     bad = is_bad(F.col(scl)) if scl else F.lit(False)
     values = {name: masked(reflectance(F.col(c)), bad) for name, c in bands.items()}
@@ -40,12 +42,11 @@ def filled_cells(obs: DataFrame, height: int, width: int, scenes: list, bands: d
 def feature_stack(obs: DataFrame, height: int, width: int, scenes: list, bands: dict[str, str], red: str, nir: str, scl: str | None = "scl", size: int = 5, spectral: bool = True, spatial: bool = True, temporal: bool = True) -> DataFrame:
     """One row per pixel with the columns of :func:`feature_names`.
 
-    Gap-filling and the final aggregation share their shuffle on (row, col); texture needs one of its own.
+    Gap-filling shuffles on (row, col); texture slides along rows and columns, and nothing is computed twice.
     """
     cells = filled_cells(obs, height, width, scenes, bands if spectral else {}, red, nir, scl)
     if spatial:
-        std = local_std if size < LARGE_BOX else local_std_tiled
-        cells = cells.join(std(cells, "ndvi", size, height, width), [*PIXEL, "scene"])
+        cells = with_local_std(cells, "ndvi", size, height, width)
     at = lambda column, s: F.max(F.when(F.col("scene") == F.lit(s), F.col(column)))
     parts = []
     for s in scenes:

@@ -49,14 +49,20 @@ class Runner:
         return spark.read.parquet(self.path(name))
 
     def write(self, name: str, df: DataFrame) -> None:
-        """Write beside the table and swap, so a table that is being read is never overwritten."""
+        """Write beside the table, then swap by renaming: the old table goes last, so a failure leaves one of the two."""
         spark, target = df.sparkSession, self.path(name)
         df.write.mode("overwrite").parquet(target + ".new")
         jvm = spark._jvm.org.apache.hadoop.fs.Path
         fs = jvm(target).getFileSystem(spark._jsc.hadoopConfiguration())
-        fs.delete(jvm(target), True)
+        fs.delete(jvm(target + ".old"), True)
+        had = fs.exists(jvm(target))
+        if had and not fs.rename(jvm(target), jvm(target + ".old")):
+            raise OSError(f"could not move {target} aside")
         if not fs.rename(jvm(target + ".new"), jvm(target)):
+            if had:
+                fs.rename(jvm(target + ".old"), jvm(target))
             raise OSError(f"could not rename {target}.new")
+        fs.delete(jvm(target + ".old"), True)
 
     def run(self, spark: SparkSession, start: str = "download", stop: str = "weightmaps") -> list[str]:
         """Run the active stages in order; returns those that ran."""

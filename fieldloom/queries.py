@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .functions import bands as fb
 from .functions import geo, tags
-from .operators import catalogue, classify, export, neighbourhood, pixels, resample, samples, vectors
+from .operators import catalogue, classify, deep, export, neighbourhood, pixels, resample, samples, vectors
 from .plans.features import feature_stack as build_stack
 from .sources import vector
 
@@ -170,11 +170,7 @@ _TAG_SQL = "case when event_id % 7 = 0 then 'vineyard' when event_id % 7 = 1 the
 
 @query(f"select class_name, count(*) as n from (select {_TAG_SQL} as class_name from events) group by 1")
 def c8_tag_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("event_id") % 7
-    use = F.when(k == 0, "vineyard").when(k == 1, "orchard").when(k == 2, "residential").when(k == 3, "reservoir").otherwise("forest")
-    natural = F.when(F.col("event_id") % 5 == 0, "water").otherwise("wood")
-    pairs = F.map_from_arrays(F.array(F.lit("landuse"), F.lit("natural"), F.lit("highway")), F.array(use, natural, F.when(F.col("event_id") % 3 == 0, "primary").otherwise("")))
-    return table(spark, sf_dir, "events").select(tags.tag_class(pairs).alias("class_name")).groupBy("class_name").agg(F.count("*").alias("n"))
+    return _tagged(spark, sf_dir).select(tags.tag_class(F.col("tags")).alias("class_name")).groupBy("class_name").agg(F.count("*").alias("n"))
 
 
 @query(with_sql(LABELS, 'select "row", col, class_id from labels where class_id > 0'))
@@ -189,7 +185,7 @@ def c14_drop_null_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_sql(NDVI, 'select "row", col, scene, case when ndvi is null then 0 when ndvi > 0.2 then 2 else 1 end as class_id from idx'))
 def c15_null_to_background(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return index_cells(spark, sf_dir).select("row", "col", "scene", F.when(F.col("ndvi").isNull(), 0).when(F.col("ndvi") > 0.2, 2).otherwise(1).alias("class_id"))
+    return index_cells(spark, sf_dir).select("row", "col", "scene", classify.or_background(F.when(F.col("ndvi") > 0.2, 2).otherwise(1), ["ndvi"]).alias("class_id"))
 
 
 @query(with_sql(LABELS, 'select k.range::int as wanted, "row", col, case when class_id = k.range then 65535 else 0 end as value from labels, range(1, 4) k'))
@@ -209,7 +205,7 @@ def c20_same_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(k, base.same_as(g)) for k, g in enumerate(others, 1)], "id int, same boolean")
 
 
-@query("select '[out:json][timeout:180];(' || string_agg(s || '(36.5,30.1,37.5,31.2);', '') || ');out geom;' as q from (select unnest([" + ", ".join("'" + s + "'" for s, *_ in tags.SELECTORS) + "]) as s)")
+@query("select '[out:json][timeout:180];(' || string_agg(s || '(36.5,30.1,37.5,31.2);', '') || ');out geom;' as q from (select unnest([" + ", ".join("'" + s + "'" for s in tags.SELECTORS) + "]) as s)")
 def c22_overpass_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     box = spark.createDataFrame([(30.1, 36.5, 31.2, 37.5)], "w double, s double, e double, n double")
     return box.select(tags.overpass_query(F.col("w"), F.col("s"), F.col("e"), F.col("n")).alias("q"))
@@ -241,10 +237,9 @@ four as (select a."row", a.col, cast(floor(y) as int) + i.range as r, cast(floor
   (case when i.range = 1 then y - floor(y) else 1 - (y - floor(y)) end) * (case when j.range = 1 then x - floor(x) else 1 - (x - floor(x)) end) as wt from spot a, range(2) i, range(2) j)"""
 
 
-@query(with_sql(_D3, 'select f."row", f.col, round(sum(wt * ndvi) / sum(case when ndvi is not null then wt end), 6) as ndvi from four f left join idx i on i."row" = f.r and i.col = f.c and i.scene = 1997 group by 1, 2'))
+@query(with_sql(_D3, 'select f."row", f.col, i.scene, round(sum(wt * ndvi) / sum(case when ndvi is not null then wt end), 6) as ndvi from four f join idx i on i."row" = f.r and i.col = f.c group by 1, 2, 3'))
 def d3_bilinear_affine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scene = index_cells(spark, sf_dir).where("scene = 1997")
-    return rounded(resample.reproject(scene, "ndvi", geo.Grid(SIDE, SIDE), geo.Grid(SIDE, SIDE, c=0.65, f=0.3)), "ndvi")
+    return rounded(resample.reproject(index_cells(spark, sf_dir), "ndvi", geo.Grid(SIDE, SIDE), geo.Grid(SIDE, SIDE, c=0.65, f=0.3), ("scene",)), "ndvi")
 
 
 @query(with_sql(LABELS, 'select "row", col, class_id from labels'))
@@ -277,7 +272,7 @@ def d8_resample_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def d9_append_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = filled(spark, sf_dir)
     deep = cells.groupBy("row", "col").agg(r6(F.sum("ndvi") * 2).alias("deep_pca_00"))
-    return cells.groupBy("row", "col").agg(r6(F.avg("ndvi")).alias("ndvi")).join(deep, ["row", "col"])
+    return pixels.append_bands(cells.groupBy("row", "col").agg(r6(F.avg("ndvi")).alias("ndvi"), F.lit(0.0).alias("deep_pca_00")), deep)
 
 
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -328,7 +323,7 @@ def e1_least_cloudy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_sql(NDVI, 'select "row", col, round(median(ndvi), 6) as ndvi from idx group by 1, 2'))
 def e2_median(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return index_cells(spark, sf_dir).groupBy("row", "col").agg(r6(F.median("ndvi")).alias("ndvi"))
+    return rounded(pixels.temporal_median(index_cells(spark, sf_dir), "ndvi"), "ndvi")
 
 
 @query(with_sql(FILL, f'select "row", col, {_SUMMARY} from filled group by 1, 2'))
@@ -396,8 +391,7 @@ def e17_class_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_sql(NDVI, 'select "row", col, bool_or(ndvi is null) as any_missing, bool_and(ndvi is null) as all_missing, count(ndvi) as valid from idx group by 1, 2'))
 def e18_missing_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    none = F.col("ndvi").isNull()
-    return index_cells(spark, sf_dir).groupBy("row", "col").agg(F.bool_or(none).alias("any_missing"), F.bool_and(none).alias("all_missing"), F.count("ndvi").alias("valid"))
+    return pixels.missing_flags(index_cells(spark, sf_dir), "ndvi")
 
 
 # Windows and neighbourhoods ----------------------------------------------------
@@ -474,9 +468,18 @@ def g8_first_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue.first_slice(table(spark, sf_dir, "events").select("user_id", "event_id", "ts"), ["user_id"], "ts").select("user_id", "event_id")
 
 
-@query("select event_id, event_type from events where event_type = 'click' union select event_id, event_type from events where value > 100")
+def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_id, kind, tags): map elements made of the events' numbers."""
+    k = F.col("event_id") % 7
+    use = F.when(k == 0, "vineyard").when(k == 1, "orchard").when(k == 2, "residential").when(k == 3, "reservoir").otherwise("forest")
+    natural = F.when(F.col("event_id") % 5 == 0, "water").otherwise("wood")
+    pairs = F.map_from_arrays(F.array(F.lit("landuse"), F.lit("natural"), F.lit("highway")), F.array(use, natural, F.when(F.col("event_id") % 3 == 0, "primary").otherwise("")))
+    return table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 2 == 0, "way").otherwise("relation").alias("kind"), pairs.alias("tags"))
+
+
+@query("select event_id from events where event_id % 7 < 3 or event_id % 5 = 0 or (event_id % 2 = 0 and (event_id % 7 = 3 or event_id % 3 = 0))")
 def h1_selector_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").where("event_type = 'click' or value > 100").select("event_id", "event_type").distinct()
+    return _tagged(spark, sf_dir).where(tags.selected(F.col("kind"), F.col("tags"))).select("event_id")
 
 
 @query(with_sql(f"{GRID}, {_edge_sql([(f, n, r) for f, n, r in LINES])}, d as (select fid, \"row\", col, x0, y0, x1 - x0 as dx, y1 - y0 as dy, greatest(0, least(1, ((col + 0.5 - x0) * (x1 - x0) + (\"row\" + 0.5 - y0) * (y1 - y0)) / ((x1 - x0) ** 2 + (y1 - y0) ** 2))) as t from cells, edges)", f'select distinct fid, "row", col from d where (col + 0.5 - x0 - t * dx) ** 2 + ("row" + 0.5 - y0 - t * dy) ** 2 <= {RADIUS} * {RADIUS}'))
@@ -534,7 +537,7 @@ def a15_backbone_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_sql(OBS, "select distinct scene from obs"))
 def a16_scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return observations(spark, sf_dir).select("scene").distinct().orderBy("scene")
+    return pixels.scenes_of(observations(spark, sf_dir))
 
 
 _J6 = """with src as (select a.range::int as r, b.range::int as c, (a.range * 10 + b.range * b.range)::double as v from range(5) a, range(5) b),
@@ -550,6 +553,30 @@ def j6_upsample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(resample.upsample(cells, "v", (5, 5), (20, 20)), "v")
 
 
+_J5 = f"""{DENSE}, comp as (select "row", col, coalesce(median(red_dn), 0) as red, coalesce(median(nir_dn), 0) as nir from dense group by 1, 2),
+src as (select "row" // 4 as r, col // 4 as c, avg(red) as f0, avg(nir) as f1 from comp group by 1, 2),
+spot as (select "row", col, least(greatest(("row" + 0.5) / 4 - 0.5, 0), 9) as y, least(greatest((col + 0.5) / 4 - 0.5, 0), 9) as x from cells),
+four as (select "row", col, floor(y)::int + i.range as r, floor(x)::int + j.range as c, (case when i.range = 1 then y - floor(y) else 1 - (y - floor(y)) end) * (case when j.range = 1 then x - floor(x) else 1 - (x - floor(x)) end) as w from spot, range(2) i, range(2) j)
+select "row", col, round(sum(w * f0) / sum(w), 4) as f0, round(sum(w * f1) / sum(w), 4) as f1 from four join src using (r, c) group by 1, 2"""
+
+
+@query("with " + _J5)
+def j5_deep_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An extractor over tiles with halos: block means of the composite, stretched and cropped."""
+    image = pixels.composite(dense(spark, sf_dir), "red_dn", "nir_dn")
+    out = deep.tile_features(image, ["red_dn", "nir_dn"], deep.block_means(4), 2, SIDE, SIDE, tile=16, halo=8)
+    return out.select("row", "col", F.round("f0", 4).alias("f0"), F.round("f1", 4).alias("f1"))
+
+
+@query()
+def j9_deep_stack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index stack with principal components of tile features behind it."""
+    image = pixels.composite(dense(spark, sf_dir), "red_dn", "nir_dn", "swir_dn")
+    maps = deep.tile_features(image, ["red_dn", "nir_dn", "swir_dn"], deep.block_means(4), 3, SIDE, SIDE, tile=16, halo=8)
+    out = deep.add_deep_features(pixels.wide_by_scene(filled(spark, sf_dir), ["ndvi"], SCENES), maps, deep.fit_components(maps, SIDE, SIDE, 16, 2))
+    return out.select("row", "col", *[r6(c).alias(c) for c in out.columns[2:]])
+
+
 # Whole plans and models ---------------------------------------------------------------
 
 _STACK = ", ".join(

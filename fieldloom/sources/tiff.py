@@ -1,7 +1,7 @@
 """TIFF rasters: a numpy codec, and readers and writers of pixel rows.
 
-Baseline and tiled files, bands interleaved by pixel or by plane, raw or deflate, predictors 1 to 3,
-integer and float samples.  Written files are float32 or integer, deflate, one strip per band block.
+Baseline and tiled files, classic and with 64-bit offsets, bands interleaved by pixel or by plane, raw
+or deflate, predictors 1 to 3, integer and float samples.  Written files are float32 or integer, deflate, one strip per band block.
 """
 
 from __future__ import annotations
@@ -44,22 +44,27 @@ class Raster:
 
 
 def _tags(data: bytes) -> tuple[str, dict[int, tuple]]:
+    """Byte order and tags of the first image, of a classic file or one with 64-bit offsets."""
     order = {b"II": "<", b"MM": ">"}.get(data[:2])
-    if order is None or struct.unpack_from(order + "H", data, 2)[0] != 42:
-        raise TiffError("not a classic TIFF file")
-    (at,) = struct.unpack_from(order + "I", data, 4)
-    (count,) = struct.unpack_from(order + "H", data, at)
+    version = struct.unpack_from(order + "H", data, 2)[0] if order else 0
+    if version not in (42, 43):
+        raise TiffError("not a TIFF file")
+    place, number, step, inline = ("I", "H", 12, 4) if version == 42 else ("Q", "Q", 20, 8)
+    (at,) = struct.unpack_from(order + place, data, 4 if version == 42 else 8)
+    (count,) = struct.unpack_from(order + number, data, at)
+    at += struct.calcsize(order + number)
     out = {}
     for k in range(count):
-        tag, kind, n = struct.unpack_from(order + "HHI", data, at + 2 + 12 * k)
+        tag, kind, n = struct.unpack_from(f"{order}HH{place}", data, at + step * k)
         if kind not in _TYPES:
             continue
-        size = _SIZES[kind] * n
-        place = at + 10 + 12 * k if size <= 4 else struct.unpack_from(order + "I", data, at + 10 + 12 * k)[0]
+        spot = at + step * k + 4 + inline
+        if _SIZES[kind] * n > inline:
+            (spot,) = struct.unpack_from(order + place, data, spot)
         if kind == 2:
-            out[tag] = (data[place : place + n].rstrip(b"\0").decode("utf-8", "replace"),)
+            out[tag] = (data[spot : spot + n].rstrip(b"\0").decode("utf-8", "replace"),)
         else:
-            out[tag] = struct.unpack_from(order + f"{n * len(_TYPES[kind])}{_TYPES[kind][0]}", data, place)
+            out[tag] = struct.unpack_from(order + f"{n * len(_TYPES[kind])}{_TYPES[kind][0]}", data, spot)
     return order, out
 
 
@@ -79,14 +84,43 @@ def _undo(block: np.ndarray, predictor: int, dtype: np.dtype, width: int, sample
     return values
 
 
-def decode(data: bytes) -> Raster:
-    order, tag = _tags(data)
+@dataclass
+class Profile:
+    """What a file says about itself, without its samples."""
+
+    width: int
+    height: int
+    bands: int
+    dtype: np.dtype
+    origin: tuple[float, float]
+    pixel: tuple[float, float]
+    epsg: int | None
+    nodata: float | None
+    names: list[str]
+
+
+def profile(data: bytes, found: tuple[str, dict[int, tuple]] | None = None) -> Profile:
+    """From the tags alone; nothing is decompressed."""
+    order, tag = found or _tags(data)
     one = lambda k, default=None: tag.get(k, (default,))[0]
-    width, height, bands, bits = one(WIDTH), one(HEIGHT), one(SAMPLES, 1), one(BITS, 1)
-    kind = {1: "u", 2: "i", 3: "f"}.get(one(FORMAT, 1))
+    bits, kind = one(BITS, 1), {1: "u", 2: "i", 3: "f"}.get(one(FORMAT, 1))
     if kind is None or bits not in (8, 16, 32, 64):
         raise TiffError(f"{bits}-bit samples of format {one(FORMAT)}")
-    dtype = np.dtype(f"{order}{kind}{bits // 8}")
+    scale, tie, keys = tag.get(PIXEL_SCALE, (1.0, 1.0, 0.0)), tag.get(TIE_POINT, (0.0,) * 6), tag.get(GEO_KEYS, ())
+    epsg = next((keys[i + 3] for i in range(4, len(keys), 4) if keys[i] in (3072, 2048)), None)
+    bands = one(SAMPLES, 1)
+    return Profile(
+        one(WIDTH), one(HEIGHT), bands, np.dtype(f"{order}{kind}{bits // 8}"), (tie[3] - tie[0] * scale[0], tie[4] + tie[1] * scale[1]),
+        (scale[0], -scale[1]), epsg, float(one(NODATA)) if NODATA in tag else None, _names(one(METADATA, ""), bands),
+    )
+
+
+def decode(data: bytes, window: tuple[int, int, int, int] | None = None) -> Raster:
+    """A file's samples, or those of a window (row, col, height, width): only blocks that meet it are decompressed."""
+    order, tag = _tags(data)
+    own = profile(data, (order, tag))
+    one = lambda k, default=None: tag.get(k, (default,))[0]
+    width, height, bands, dtype = own.width, own.height, own.bands, own.dtype
     packing, predictor, planar = one(COMPRESSION, 1), one(PREDICTOR, 1), one(PLANAR, 1) == 2
     if packing not in (1, 8, 32946):
         raise TiffError(f"compression {packing}")
@@ -96,22 +130,22 @@ def decode(data: bytes) -> Raster:
     else:
         bw, bh, places, sizes = width, min(one(ROWS, height), height), tag[STRIPS], tag[COUNTS]
     across, down = -(-width // bw), -(-height // bh)
-    out = np.zeros((bands, height, width), dtype.newbyteorder("="))
+    r0, c0, tall, wide = window or (0, 0, height, width)
+    r0, c0, r1, c1 = max(0, r0), max(0, c0), min(height, r0 + tall), min(width, c0 + wide)
+    out = np.zeros((bands, max(0, r1 - r0), max(0, c1 - c0)), dtype.newbyteorder("="))
     for k, (place, size) in enumerate(zip(places, sizes, strict=True)):
         plane, spot = divmod(k, across * down)
         r, c = (spot // across) * bh, (spot % across) * bw
+        top, left, bottom, right = max(r, r0), max(c, c0), min(r + bh, r1), min(c + bw, c1)
+        if top >= bottom or left >= right:
+            continue
         raw = data[place : place + size]
         raw = zlib.decompress(raw) if packing != 1 else raw
-        tall = bh if TILE_AT in tag else min(bh, height - r)
-        block = _undo(np.frombuffer(raw, np.uint8)[: tall * bw * per_block * dtype.itemsize], predictor, dtype, bw, per_block)
-        h, w = min(tall, height - r), min(bw, width - c)
+        lines = bh if TILE_AT in tag else min(bh, height - r)
+        block = _undo(np.frombuffer(raw, np.uint8)[: lines * bw * per_block * dtype.itemsize], predictor, dtype, bw, per_block)
         target = slice(plane, plane + 1) if planar else slice(0, bands)
-        out[target, r : r + h, c : c + w] = block[:h, :w].transpose(2, 0, 1)
-    scale, tie, keys = tag.get(PIXEL_SCALE, (1.0, 1.0, 0.0)), tag.get(TIE_POINT, (0.0,) * 6), tag.get(GEO_KEYS, ())
-    epsg = next((keys[i + 3] for i in range(4, len(keys), 4) if keys[i] in (3072, 2048)), None)
-    nodata = float(one(NODATA)) if NODATA in tag else None
-    names = _names(one(METADATA, ""), bands)
-    return Raster(out, (tie[3] - tie[0] * scale[0], tie[4] + tie[1] * scale[1]), (scale[0], -scale[1]), epsg, nodata, names)
+        out[target, top - r0 : bottom - r0, left - c0 : right - c0] = block[top - r : bottom - r, left - c : right - c].transpose(2, 0, 1)
+    return Raster(out, own.origin, own.pixel, own.epsg, own.nodata, own.names)
 
 
 def _names(text: str, bands: int) -> list[str]:
@@ -180,17 +214,17 @@ def encode(raster: Raster, predictor: int | None = None, rows: int = 256) -> byt
 def read_pixels(spark: SparkSession, path: str, window: tuple[int, int, int, int] | None = None, bands: list[int] | None = None, block: int = 1 << 18) -> DataFrame:
     """(path, band, name, row, col, value) of all TIFF files below a path; NaN and nodata are NULL.
 
-    ``window`` is (row, col, height, width); bands count from 1.  A task decodes one file at a time
-    and hands out blocks of pixels.
+    ``window`` is (row, col, height, width), of which only the blocks are decompressed; bands count from 1.
+    A task decodes one file at a time and hands out blocks of pixels.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                raster = decode(content.as_buffer().to_pybytes())
-                r0, c0, h, w = window or (0, 0, *raster.samples.shape[1:])
+                raster = decode(content.as_buffer().to_pybytes(), window)
+                r0, c0 = (max(0, x) for x in (window or (0, 0))[:2])
                 for b in bands or range(1, len(raster.samples) + 1):
-                    part = raster.samples[b - 1, r0 : r0 + h, c0 : c0 + w].astype(np.float64)
+                    part = raster.samples[b - 1].astype(np.float64)
                     lines = max(1, block // max(1, part.shape[1]))
                     for r in range(0, part.shape[0], lines):
                         own = part[r : r + lines]
@@ -204,17 +238,19 @@ def read_pixels(spark: SparkSession, path: str, window: tuple[int, int, int, int
 
 
 def read_profiles(spark: SparkSession, path: str) -> DataFrame:
-    """(path, width, height, bands, epsg, x0, y0, dx, dy, nodata) without pixel rows."""
+    """(path, width, height, bands, dtype, epsg, x0, y0, dx, dy, nodata, names) from the tags; no sample is decompressed."""
+    names = ["path", "width", "height", "bands", "dtype", "epsg", "x0", "y0", "dx", "dy", "nodata", "names"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for name, content in zip(pdf["path"], pdf["content"], strict=True):
-                r = decode(bytes(content))
-                rows.append((name, r.samples.shape[2], r.samples.shape[1], r.samples.shape[0], r.epsg, *r.origin, *r.pixel, r.nodata))
-            yield pd.DataFrame(rows, columns=["path", "width", "height", "bands", "epsg", "x0", "y0", "dx", "dy", "nodata"])
+                p = profile(bytes(content))
+                rows.append((name, p.width, p.height, p.bands, p.dtype.name, p.epsg, *p.origin, *p.pixel, p.nodata, p.names))
+            out = pd.DataFrame(rows, columns=names)
+            yield out.astype({"epsg": "Int32", "nodata": "Float64"})
 
-    return read_binary(spark, path, "*.{tif,tiff}").mapInPandas(run, "path string, width int, height int, bands int, epsg int, x0 double, y0 double, dx double, dy double, nodata double")
+    return read_binary(spark, path, "*.{tif,tiff}").mapInPandas(run, "path string, width int, height int, bands int, dtype string, epsg int, x0 double, y0 double, dx double, dy double, nodata double, names array<string>")
 
 
 def write_rasters(pixels: DataFrame, folder: str, height: int, width: int, bands: list[str], file_col: str = "file", dtype: str = "float32", origin: tuple[float, float] = (0.0, 0.0), pixel: tuple[float, float] = (1.0, 1.0), epsg: int | None = None) -> int:

@@ -22,8 +22,10 @@ from .files import read_binary
 _HEADER = {0: 0, 1: 32, 2: 48, 3: 48, 4: 64}
 GEOJSON = "features array<struct<geometry: struct<type: string, coordinates: string>, properties: struct<tags: map<string,string>>>>"
 # Public mirrors of the map service, and its retry rule.
-MIRRORS = ("https://overpass-api.de/api/interpreter", "https://overpass.kumi.systems/api/interpreter", "https://overpass.private.coffee/api/interpreter")
+MIRRORS = ("https://overpass-api.de/api/interpreter", "https://overpass.kumi.systems/api/interpreter", "https://maps.mail.ru/osm/tools/overpass/api/interpreter")
 TRIES, FIRST_WAIT = 3, 5.0
+#: The service refuses callers that do not say who they are.
+HEADERS = {"User-Agent": "fieldloom/0.2 (label bootstrap)", "Accept": "application/json"}
 
 
 def _wkb(data: bytes, at: int = 0) -> tuple[list[list[tuple[float, float]]], str, int]:
@@ -146,18 +148,20 @@ def sidecar_json(names: list[str], scenes: list) -> str:
 
 
 def fetch(query: str, send: Callable[[str, bytes], bytes] | None = None, wait: Callable[[float], None] = time.sleep, mirrors: tuple[str, ...] = MIRRORS) -> str:
-    """Ask the mirrors in turn, each up to three times with doubled waits; the answer as text."""
+    """Ask the mirrors in turn, each up to three times with doubled waits; the answer as text, which is JSON."""
 
     def post(url: str, body: bytes) -> bytes:
-        with urllib.request.urlopen(urllib.request.Request(url, body), timeout=300) as answer:
+        with urllib.request.urlopen(urllib.request.Request(url, body, HEADERS), timeout=300) as answer:
             return answer.read()
 
     body, last = urllib.parse.urlencode({"data": query}).encode(), None
     for url in mirrors:
         for k in range(TRIES):
             try:
-                return (send or post)(url, body).decode("utf-8")
-            except (urllib.error.URLError, OSError) as e:
+                text = (send or post)(url, body).decode("utf-8")
+                json.loads(text)
+                return text
+            except (urllib.error.URLError, OSError, ValueError) as e:
                 last = e
                 if k + 1 < TRIES:
                     wait(FIRST_WAIT * 2**k)
