@@ -6,15 +6,14 @@ sources are mixed to target weights, and what is left is cut into balanced shard
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldloom.llm import decontaminate, mixing, ngram_join, sharding, toxicity
-from fieldloom.llm.common import scratch_root
+from fieldloom.llm.common import Scratch
 from fieldloom.llm.queries import fold, table
 
-#: No stage-wise SQL: the network of the first stage is not expressible; tests hold run() against brute force.
+#: SQL cannot express the network of the first stage.  tests/llm/test_brute.py holds run()'s rows against plain
+#: Python from the second stage on, and the first stage against held-out labels.
 ORACLE_SQL = None
 
 
@@ -49,11 +48,17 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to ``documents``; every stage's output is written to the shared folder."""
-    root = f"{scratch_root(spark)}/fieldloom/pipeline-{uuid.uuid4().hex}"
+    """Apply all stages to ``documents``.
+
+    Every stage's output is written to the shared folder and goes when the next one stands; the last
+    stays with the session.  Null and empty texts pass the first three stages, repeated rows count as
+    near copies, columns besides those of documents pass, and empty tables give an empty result.
+    """
     docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        path = f"{root}/{k}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    with Scratch(spark, "pipeline") as scratch:
+        for k, (name, stage) in enumerate(STAGES):
+            out = stage(spark, docs, sf_dir)
+            docs = scratch.write(out, name) if k + 1 < len(STAGES) else scratch.result(out, name)
+            if k:
+                scratch.drop(STAGES[k - 1][0])
     return docs
