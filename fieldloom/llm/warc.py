@@ -192,7 +192,10 @@ def write_archives(plan: DataFrame, level: int = 3) -> DataFrame:
 
 
 def read_archives(archives: DataFrame, content_col: str = "content", with_payload: bool = True) -> DataFrame:
-    """(page_id, url, record_type, payload_bytes, payload_digest, refers_to[, payload]) of all pages' records."""
+    """(page_id, url, record_type, payload_bytes, payload_digest, refers_to[, payload]) of all pages' records.
+
+    Records of other writers have no page id; without a stated digest theirs is computed.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,5 +1,6 @@
 """Each operator against brute force, an exact round trip or held-out accuracy, and on odd tables."""
 
+import gzip
 import hashlib
 import io
 import random
@@ -114,6 +115,13 @@ def test_url_filter(spark):
     assert url_filter.filter_urls(pages, ()).where("verdict = 'allow'").count() == len(URLS) + 1
 
 
+def test_hosts_end_only_where_they_should(spark):
+    urls = [(1, "http://A\n\0b.org/x"), (2, "http://" + "a." * 20000 + "org/" + "y" * 50000), (3, "x://h#/p"), (4, "x://h?://z"), (5, None), (6, "")]
+    got = {r.page_id: (r.host, r.path, r.rule) for r in url_filter.filter_urls(spark.createDataFrame(urls, "page_id long, url string")).collect()}
+    assert got[1] == ("a\n\0b.org", "/x", "org/") and got[2] == ("a." * 20000 + "org", "/" + "y" * 50000, "org/")
+    assert got[3] == got[4] == ("h", "", None) and got[5] == got[6] == ("", "", None)
+
+
 def test_url_filter_long_lists(spark, monkeypatch):
     rules = tuple(url_filter.Rule(f"h{k}.net/p/{k}", "block") for k in range(90)) + url_filter.RULES
     pages = spark.createDataFrame([(k, f"http://www.h{k}.net/p/{k}/q") for k in range(0, 120, 7)] + [(999, URLS[3])], "page_id long, url string")
@@ -213,6 +221,22 @@ def test_warc_round_trip(spark):
     assert warc.archive_pages(pages.limit(0)).count() == 0
 
 
+def test_foreign_and_long_records(spark):
+    """Records that state no digest, or state it in base 16, and a payload of some megabytes."""
+    body = b"HTTP/1.1 200 OK\r\n\r\n" + b"q" * 3_000_000
+
+    def member(*extra):
+        head = "\r\n".join(["WARC/1.0", "WARC-Type: response", "WARC-Record-ID: <urn:x>", "Content-Type: application/http", *extra, f"Content-Length: {len(body)}"])
+        return gzip.compress(head.encode() + b"\r\n\r\n" + body + b"\r\n\r\n")
+
+    archives = spark.createDataFrame([(bytearray(member() + member()),)], "content binary")
+    rows = warc.read_archives(archives, with_payload=False).collect()
+    assert [(r.page_id, r.payload_bytes, r.payload_digest) for r in rows] == [(None, 3_000_000, hashlib.sha1(b"q" * 3_000_000).hexdigest())] * 2
+    pages = spark.createDataFrame([(1, "é" * 2_000_000), (2, "é" * 2_000_000), (3, None)], "page_id long, html string")
+    got = {r.page_id: (r.payload_bytes, r.record_type, r.refers_to) for r in warc.archive_pages(pages).collect()}
+    assert got == {1: (4_000_000, "revisit", 2), 2: (4_000_000, "response", None), 3: (0, "response", None)}
+
+
 def test_warc_reader_finds_damage():
     good = warc.warcinfo() + warc.record("response", "1", "u", b"payload" * 50000)
     assert [r["type"] for r in warc.read_records(io.BytesIO(good))] == ["warcinfo", "response"]
