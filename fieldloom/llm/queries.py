@@ -108,6 +108,28 @@ select page_id, n as payload_bytes, p.digest as payload_digest,
 from p left join g on p.digest = g.digest
 """
 
+#: The checksum's table of 256 comes from its rule.
+_OP7 = """
+with recursive crc_steps as (
+  select range as i, range as v, 0 as k from range(256)
+  union all
+  select i, case when v % 2 = 1 then xor(v >> 1, 3988292384) else v >> 1 end, k + 1 from crc_steps where k < 8
+), crc_table as (
+  select list(v order by i) as t from crc_steps where k = 8
+), d as (
+  select doc_id, coalesce(text, '') as txt, strlen(coalesce(text, '')) + 1 as size, ('0x' || substr(md5(coalesce(text, '')), 1, 15))::bigint as h from documents
+), crcs as (
+  select txt, xor(list_reduce(list_transform(regexp_extract_all(hex(encode(txt)), '..'), lambda x: ('0x' || x)::bigint), lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1]), 4294967295), 4294967295) as crc
+  from (select distinct txt from d), crc_table
+), placed as (
+  select doc_id, size, crc, coalesce(sum(size) over (order by h, doc_id, crc rows between unbounded preceding and 1 preceding), 0)::bigint as before, sum(size) over ()::bigint as total, row_number() over (order by h, doc_id, crc) as place
+  from d join crcs on crcs.txt = d.txt
+), cut as (
+  select *, least(floor((before + size / 2.0::double) * 16 / total), 15)::int as shard from placed
+)
+select doc_id, size, crc as text_crc32, 'bytes' as law, shard, place - min(place) over (partition by shard) as slot, null::int as grown_shard from cut
+"""
+
 _OP8 = """
 with recursive w as (
   select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as ws from documents
@@ -151,6 +173,36 @@ select doc_id, source, replica::int as replica, md5('17:deal:' || coalesce(doc_i
 from (select doc_id, source, h, unnest(generate_series(1, n)) as replica from counts where n > 0)
 """
 
+_OP10 = """
+with d as (
+  select doc_id, encode(coalesce(text, '')) as b from documents
+), n as (
+  select doc_id, b, octet_length(b) as n, row_number() over () as k from d
+), w as (
+  select k, p, hash(b[p:p + 399]) as h from (select k, b, unnest(generate_series(1, n - 399)) as p from n)
+), m as (
+  select k, p, md5(s) as h from (select w.k, p, b[p:p + 399] as s from (select * from w qualify count(*) over (partition by h) > 1) w join n on n.k = w.k)
+), hit as (
+  select k, p from (select k, p, count(*) over (partition by h) as c from m) where c > 1
+), runs as (
+  select k, min(p) as a, max(p) + 399 as z from (
+    select k, p, sum(case when p <= prev + 400 then 0 else 1 end) over (partition by k order by p) as run
+    from (select k, p, lag(p) over (partition by k order by p) as prev from hit)
+  ) group by k, run
+), kept as (
+  select k, string_agg(hex(b[lo:hi]), '' order by lo) as body from (
+    select r.k, n.b, coalesce(lag(z) over (partition by r.k order by a), 0) + 1 as lo, a - 1 as hi from runs r join n on n.k = r.k
+    union all
+    select r.k, any_value(n.b), max(z) + 1, any_value(n.n) from runs r join n on n.k = r.k group by r.k
+  ) where lo <= hi group by k
+), spans as (
+  select k, count(*) as n_spans, sum(z - a + 1)::bigint as n_removed from runs group by k
+)
+select doc_id, n as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+  case when n_spans is null then sha256(b) else sha256(unhex(coalesce(body, ''))) end as kept_sha256
+from n left join spans s on s.k = n.k left join kept c on c.k = n.k
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": _OP2, "op4_warc": _OP4, "op8_ngram_join": _OP8, "op9_mixing": _OP9}
+    return {"op2_url_filter": _OP2, "op4_warc": _OP4, "op7_sharding": _OP7, "op8_ngram_join": _OP8, "op9_mixing": _OP9, "op10_suffix_dedup": _OP10}

@@ -22,8 +22,8 @@ FILE_BYTES = 256 << 20
 def shard_by_bytes(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, size, text_crc32, law, shard, slot, grown_shard) of every row.
 
-    size is the text's UTF-8 bytes (null: 0) plus 1.  The order is the text's hash, then the id, so
-    equal texts are neighbours and share a shard unless a cut falls among them.  A shard's size
+    size is the text's UTF-8 bytes (null: 0) plus 1.  The order is the first 60 bits of the text's MD5,
+    then the id, so equal texts are neighbours and share a shard unless a cut falls among them.  A shard's size
     differs from total / shards by less than two documents.  Slots are gapless from 0 in each shard.
     The law is "bytes", so grown_shard is null.  Null ids come first among equal texts; repeated
     rows get a slot each; an empty table gives an empty result; other columns are ignored.
@@ -34,7 +34,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
         F.col(id_col),
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("__crc"),
-        F.xxhash64(text).alias("__h"),
+        F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long").alias("__h"),
     )
     # The ranges come from a sample, so they are written once: both passes must see the same.
     ranged = keyed.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
