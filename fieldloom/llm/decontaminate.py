@@ -4,6 +4,7 @@ Numbers, names and units become typed placeholders; windows of canonical tokens
 with those of the benchmark.  Matches along one alignment must then agree on what fills the slots:
 each benchmark value may stand for one document value only and the other way round.  That finds a
 question asked again with other numbers or names, and rejects chance matches of a bare template.
+A slot that disagrees takes only the windows over it away, so one edited number does not hide a copy.
 
 Texts are compared in two forms, and either finds a leak: ``LITERAL`` leaves names as lower-case words,
 so that copies in another case match; ``TEMPLATE`` makes every capitalised word a name, also at the
@@ -88,11 +89,13 @@ def _within(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, coverage: float = 0.5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, coverage: float = 0.5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", passage: int = 50) -> DataFrame:
     """(id, item, matched, windows, coverage, kind), one row per leaking document row and item.
 
     An item leaks when, in either form, at least ``coverage`` of its windows of ``width`` tokens occur in
-    the text on alignments whose slots are consistent.  An item with fewer tokens is one window.  The
+    the text with consistent slots, or when ``passage`` tokens of it in a row do, whatever their share.
+    Slots are compared along an alignment: equal values agree, and unequal ones if neither stands for a
+    third value; windows over other slots do not count.  An item with fewer tokens is one window.  The
     figures are of the form with the greater coverage.  ``kind`` is "verbatim" if all its slot values are
     equal, else "re-parameterised".  Items whose template keeps under ``LEAST_WORDS`` words are looked
     for by their literal names only.  Null or empty texts and items
@@ -126,7 +129,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, coverage:
         # Item positions that the alignment covers and that are slots, and each one's ordinal.
         slots = F.filter(F.sequence(F.lit(1), F.size("__it")), lambda p: F.startswith(F.element_at("__it", p), F.lit("\x01")) & F.exists("__ipos", lambda q: (p >= q) & (p < q + F.col("__w"))))
         lines = scratch.write(lines.withColumn("__slots", F.when(F.exists("__it", lambda t: F.startswith(t, F.lit("\x01"))), slots).otherwise(F.array().cast("array<int>"))), "slots")
-        bare = lines.where(F.size("__slots") == 0).select("__id", "__key", "__ikey", "__form", "__item", "__n", "__ipos", F.lit(True).alias("__same"))
+        kept = ["__id", "__key", "__ikey", "__form", "__item", "__n", "__w", "__ipos"]
+        bare = lines.where(F.size("__slots") == 0).select(*kept, F.lit(True).alias("__same"))
         filled = lines.where(F.size("__slots") > 0)
         # Only documents with slots to compare are read again.
         wanted = scratch.write(filled.select("__key", "__form").distinct(), "wanted")
@@ -138,20 +142,32 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, coverage:
         def value(tokens: str, values: str, p: Column) -> Column:
             return F.try_element_at(F.col(values), F.size(F.filter(F.slice(F.col(tokens), F.lit(1), p), lambda t: F.startswith(t, F.lit("\x01")))))
 
-        pairs = F.array_distinct(F.transform("__slots", lambda p: F.struct(value("__it", "__iv", p).alias("i"), value("__t", "__v", p + F.col("__shift")).alias("d"))))
-        filled = filled.withColumn("__pairs", pairs)
+        fills = F.transform("__slots", lambda p: F.struct(p.alias("p"), F.struct(value("__it", "__iv", p).alias("i"), value("__t", "__v", p + F.col("__shift")).alias("d")).alias("x")))
+        filled = filled.withColumn("__fills", fills).withColumn("__pairs", F.array_distinct("__fills.x"))
         one_to_one = (F.size(F.array_distinct(F.col("__pairs.i"))) == F.size("__pairs")) & (F.size(F.array_distinct(F.col("__pairs.d"))) == F.size("__pairs"))
-        filled = filled.where(one_to_one).select("__id", "__key", "__ikey", "__form", "__item", "__n", "__ipos", F.forall("__pairs", lambda x: x["i"] == x["d"]).alias("__same"))
+        equal = lambda x: x["i"].eqNullSafe(x["d"])
+        clash = F.filter("__pairs", lambda x: ~equal(x) & F.exists("__pairs", lambda y: y["i"].eqNullSafe(x["i"]) != y["d"].eqNullSafe(x["d"])))
+        filled = filled.withColumn("__clash", F.when(~one_to_one, clash).otherwise(F.slice("__pairs", 1, 0)))
+        filled = filled.withColumn("__bad", F.transform(F.filter("__fills", lambda f: F.array_contains("__clash", f["x"])), lambda f: f["p"]))
+        free = F.filter("__ipos", lambda q: ~F.exists("__bad", lambda p: (p >= q) & (p < q + F.col("__w"))))
+        filled = filled.withColumn("__ipos", F.when(F.size("__bad") > 0, free).otherwise(F.col("__ipos"))).where(F.size("__ipos") > 0)
+        filled = filled.select(*kept, F.forall("__pairs", equal).alias("__same"))
 
         agreed = bare.unionByName(filled)
+        # The longest run of windows in a row, counted in tokens.
+        start = F.struct(F.lit(-1).alias("at"), F.lit(0).alias("run"), F.lit(0).alias("best"))
+        longer = lambda s, q: F.when(q == s["at"] + 1, s["run"] + 1).otherwise(F.lit(1))
+        runs = F.aggregate(F.array_sort("__ipos"), start, lambda s, q: F.struct(q.alias("at"), longer(s, q).alias("run"), F.greatest(s["best"], longer(s, q)).alias("best")), lambda s: s["best"])
+        tokens = F.when(F.size("__ipos") + F.col("__w") > passage, runs + F.col("__w") - 1).otherwise(0)
+        agreed = agreed.withColumn("__run", tokens)
         leaks = agreed.groupBy("__id", "__key", "__ikey", "__form", "__item", "__n").agg(
-            F.size(F.array_distinct(F.flatten(F.collect_list("__ipos")))).cast("long").alias("matched"), F.bool_and("__same").alias("__same")
+            F.size(F.array_distinct(F.flatten(F.collect_list("__ipos")))).cast("long").alias("matched"), F.bool_and("__same").alias("__same"), F.max("__run").alias("__run")
         )
         # Of the two forms the one with more coverage, and at a tie the literal one.
         best = F.struct((F.col("matched") / F.col("__n")).alias("share"), (-F.col("__form")).alias("form"), "matched", "__n", "__same")
-        leaks = leaks.groupBy("__id", "__key", "__ikey", "__item").agg(F.max(best).alias("__best")).select("__id", "__item", "__best.*")
+        leaks = leaks.groupBy("__id", "__key", "__ikey", "__item").agg(F.max(best).alias("__best"), F.max("__run").alias("__run")).select("__id", "__item", "__best.*", "__run")
         share = F.col("share")
-        out = leaks.where(share >= coverage).select(
+        out = leaks.where((share >= coverage) | (F.col("__run") >= passage)).select(
             F.col("__id").alias(id_col), F.col("__item").alias(item_col), "matched", F.col("__n").cast("int").alias("windows"), share.cast("double").alias("coverage"), F.when(F.col("__same"), "verbatim").otherwise("re-parameterised").alias("kind")
         )
         return scratch.result(out)

@@ -49,11 +49,11 @@ def parts(text, template):
     return tokens, [next(values) if t[0] == SLOT else None for t in tokens]
 
 
-def brute_leaks(docs, items, width=8, coverage=0.5):
+def brute_leaks(docs, items, width=8, coverage=0.5, passage=50):
     out = set()
     for doc_id, text in docs:
         for item_id, item in items:
-            best = None
+            best, longest = None, 0
             for template in (False, True):
                 tokens, values = parts(item, template)
                 if not tokens or template and not (SLOT + "n" in tokens and sum(t[0] != SLOT for t in tokens) >= 3):
@@ -71,13 +71,17 @@ def brute_leaks(docs, items, width=8, coverage=0.5):
                 matched, same = set(), True
                 for shift, places in lines.items():
                     covered = sorted({p for q in places for p in range(q, q + w) if tokens[p][0] == SLOT})
-                    pairs = {(values[p], fills[p + shift]) for p in covered}
-                    if len({a for a, _ in pairs}) == len(pairs) == len({b for _, b in pairs}):
+                    pairs = {p: (values[p], fills[p + shift]) for p in covered}
+                    bad = {p for p, (a, b) in pairs.items() if a != b and any((a == c) != (b == d) for c, d in pairs.values())}
+                    places = {q for q in places if not bad & set(range(q, q + w))}
+                    if places:
                         matched |= places
-                        same &= all(a == b for a, b in pairs)
+                        same &= all(a == b for a, b in pairs.values())
+                        ends = [q for q in places if q + 1 not in places]
+                        longest = max(longest, w - 1 + max(next(k for k in range(1, n + 2) if e - k not in places) for e in ends))
                 if matched and (best is None or len(matched) / n > best[0]):
                     best = (len(matched) / n, len(matched), n, "verbatim" if same else "re-parameterised")
-            if best and best[0] >= coverage:
+            if best and (best[0] >= coverage or longest >= passage):
                 out.add((doc_id, item_id, *best[1:]))
     return out
 
@@ -89,10 +93,15 @@ def leak_tables():
         (2, "A train leaves the old station at 9.30 and runs 120 km in 2 hours. What is its mean speed?"),
         (3, "Name 4 rivers"),
         (4, prose(40, rng)),
+        (5, prose(200, rng)),
+        (6, "Sell 3 apples and 3 pears to the 3 neighbours of the 3 farms in 3 villages by the sea"),
     ]
     docs = [(10, f"{prose(20, rng)}\n{items[0][1]}\n{prose(20, rng)}"), (11, items[0][1].replace("Tom", "Bob").replace("5", "17").replace("3 km", "8 miles"))]
     docs += [(12, items[0][1].replace("Tom has", "Eve has").replace("5", "17")), (13, items[1][1].upper()), (14, "Name 4 rivers and more"), (15, None), (16, "")]
     docs += [(17, f"{prose(900, rng)} {items[3][1]} {prose(9000, rng)}"), (18, items[3][1][: len(items[3][1]) * 2 // 3]), (19, prose(60, rng)), (20, items[1][1].replace("120", "360").replace("2 hours", "6 hours")), (10, f"{items[1][1]}")]
+    quoted = items[4][1].split()
+    docs += [(21, f"{prose(30, rng)} {' '.join(quoted[70:122])} {prose(30, rng)}"), (22, " ".join(quoted[20:65])), (23, items[3][1] + " 5 " + items[0][1].replace("2 apples", "5 apples"))]
+    docs += [(24, "Sell 4 apples and 5 pears to the 6 neighbours of the 7 farms in 8 villages by the sea"), (25, items[5][1].replace("3", "9"))]
     return docs, items
 
 
@@ -106,6 +115,8 @@ def test_leaks_against_brute_force(spark):
         got = {(r.doc_id, r.item_id, r.matched, r.windows, r.kind) for r in decontaminate.find_leaks(d, b).collect()}
         want = brute_leaks(own, bench)
         assert got == want and want
+        if bench is items:
+            assert {(21, 5), (23, 1), (23, 4), (25, 6)} <= {x[:2] for x in got} and not {22, 24} & {x[0] for x in got}
     assert decontaminate.find_leaks(d.where("false"), b).count() == 0 == decontaminate.find_leaks(d, b.where("false")).count()
 
 

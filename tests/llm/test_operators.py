@@ -257,14 +257,14 @@ def test_warc_reader_finds_damage():
 def test_leaks(spark, nothing):
     item = "A farmer sells 12 apples and 30 pears to his old neighbour Martin Smith every day before noon so how many fruits are sold in 4 weeks"
     again = item.replace("12", "95").replace("30", "7").replace("Martin Smith", "Paula Jones").replace("4 weeks", "9 days")
-    mixed = item.replace("30", "12")  # one value for two slots
+    mixed = item.replace("30", "12")  # one value for two slots: only the windows over the second one go
     plain = prose(40)
     docs = frame(spark, [prose(30) + ". " + item, prose(30) + ". " + again + " " + prose(20), prose(9) + ". " + mixed, prose(300), None, "", plain, plain.upper(), " ".join(plain.split()[:22])])
     bench = spark.createDataFrame([(1, item, "q"), (1, item, "q"), (2, plain, "q"), (3, None, "q"), (4, "", "q"), (5, "short item here", "q")], "item_id long, text string, kind string")
     got = {(r.doc_id, r.item_id): r.kind for r in decontaminate.find_leaks(docs, bench).collect()}
-    assert got == {(0, 1): "verbatim", (1, 1): "re-parameterised", (6, 2): "verbatim", (7, 2): "verbatim"}
+    assert got == {(0, 1): "verbatim", (1, 1): "re-parameterised", (2, 1): "re-parameterised", (6, 2): "verbatim", (7, 2): "verbatim"}
     left = decontaminate.drop_leaks(docs, bench)
-    assert {r.doc_id for r in left.collect()} == {2, 3, 4, 5, 8} and left.columns == docs.columns
+    assert {r.doc_id for r in left.collect()} == {3, 4, 5, 8} and left.columns == docs.columns
     assert decontaminate.find_leaks(nothing, bench).count() == 0 and decontaminate.find_leaks(docs, bench.limit(0)).count() == 0
 
 
