@@ -22,8 +22,9 @@ from .common import Scratch, fresh, row_key
 
 #: Units that may follow a number.
 UNITS = "kg|km|mm|cm|ml|mg|lb|oz|ft|mi|mph|kph|hours?|minutes?|seconds?|days?|weeks?|months?|years?|meters?|metres?|miles?|grams?|litres?|liters?|dollars?|euros?|cents?|percent|degrees?"
-NAMES = r"(?<![\p{L}\p{M}\p{Nd}])(\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*)"
-NUMBERS = r"([0-9]+(?:[.,][0-9]+)*)"
+# Possessive: Java recurses for each turn of another repeated group, and some thousand names in a row would overflow the stack.
+NAMES = r"(?<![\p{L}\p{M}\p{Nd}])(\p{Lu}\p{Ll}++(?: \p{Lu}\p{Ll}++)*+)"
+NUMBERS = r"([0-9]++(?:[.,][0-9]++)*+)"
 #: Rows that may be broadcast; larger sides are shuffled.
 BROADCAST_ROWS = 500_000
 LITERAL, TEMPLATE = 0, 1

@@ -283,6 +283,15 @@ def test_leaks_in_either_form(spark):
     assert {r.doc_id for r in decontaminate.drop_leaks(docs, bench).collect()} == {10, 11}
 
 
+def test_long_runs_of_names_and_numbers(spark):
+    """Title case and tables without spaces: patterns that recurse for each of them overflow the stack."""
+    item = "A farmer sells 12 apples and 30 pears to his old neighbour every day before noon in summer"
+    runs = [" ".join(["Anna"] * 20_000), ",".join(["12"] * 20_000), "\n".join(["Rome 7.5"] * 20_000)]
+    docs = spark.createDataFrame([(k, f"{x} {item}") for k, x in enumerate(runs)] + [(3, runs[0])], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert {(r.doc_id, r.item_id, r.kind) for r in decontaminate.find_leaks(docs, bench).collect()} == {(k, 1, "verbatim") for k in range(3)}
+
+
 # 7 ------------------------------------------------------------------------------
 
 
