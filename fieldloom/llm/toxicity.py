@@ -8,6 +8,7 @@ between scoring all windows of the sample and learning from the worst window of
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, lower_ascii, span_hashes, text_bytes, text_slices
+from .common import Scratch, lower_ascii, setting, span_hashes, text_bytes, text_slices
 
 #: Labelled documents that training reads at most, of either label.
 TRAIN_TOXIC, TRAIN_CLEAN = 1200, 2400
@@ -384,32 +385,44 @@ class _Sample:
         return _worst(self.logits(net, self.windows[own]), self.owner[own], len(used))[used]
 
 
-def fit_network(texts: list[str | None], toxic: np.ndarray, prior: float | None = None, rounds: int = 7, batch: int = 256, seed: int = 5) -> Network:
-    """Train on documents and their labels (0 or 1).  Without two of both labels the score is a constant.
-
-    All documents train the network.  What turns its logits into scores is fitted on logits that
-    ``FOLDS`` further networks give to the documents they have not seen; ``prior`` is the share of toxic
-    documents there, if the sample has another.
-    """
-    rng, net = np.random.default_rng(seed), Network(seed)
-    toxic = np.asarray(toxic, bool)
+def _sampled(texts: list[str | None], toxic: np.ndarray, seed: int) -> tuple[_Sample, np.ndarray, int] | None:
+    """The sample, the fold of each document and how many folds; None without words or two of both labels."""
+    rng = np.random.default_rng(seed)
     data, offsets = text_bytes(pa.array(texts, pa.string()))
     data = lower_ascii(data)
     starts, ends, doc = (x.astype(np.int32) for x in _tokens(data, offsets))
     folds = min(FOLDS, int(toxic.sum()), int((~toxic).sum()))
     if not len(starts) or folds < 2:
-        base = (toxic.sum() + 1) / (len(toxic) + 2)
-        net.scale, net.shift = 0.0, float(np.log(base / (1 - base)))
-        return net
+        return None
     vocabulary, index = Vocabulary.of(data, starts, ends)
     at, owner = _windows(doc, len(texts))
     del data, starts, ends
     windows = np.concatenate([np.where(at[i : i + 4096] < 0, -1, index[np.maximum(at[i : i + 4096], 0)]).astype(np.int32) for i in range(0, len(at), 4096)])
     del at
-    sample = _Sample(vocabulary, index, doc, windows, owner, toxic)
     part = np.empty(len(toxic), np.int64)
     for own in (np.flatnonzero(toxic), np.flatnonzero(~toxic)):
         part[own] = rng.permutation(len(own)) % folds
+    return _Sample(vocabulary, index, doc, windows, owner, toxic), part, folds
+
+
+def _constant(toxic: np.ndarray, seed: int) -> Network:
+    net, base = Network(seed), (toxic.sum() + 1) / (len(toxic) + 2)
+    net.scale, net.shift = 0.0, float(np.log(base / (1 - base)))
+    return net
+
+
+def fit_network(texts: list[str | None], toxic: np.ndarray, prior: float | None = None, rounds: int = 7, batch: int = 256, seed: int = 5) -> Network:
+    """Train on documents and their labels (0 or 1).  Without two of both labels the score is a constant.
+
+    All documents train the network.  What turns its logits into scores is fitted on logits that
+    ``FOLDS`` further networks give to the documents they have not seen; ``prior`` is the share of toxic
+    documents there, if the sample has another.
+    """
+    toxic = np.asarray(toxic, bool)
+    sampled = _sampled(texts, toxic, seed)
+    if sampled is None:
+        return _constant(toxic, seed)
+    sample, part, folds = sampled
     worst = np.empty(len(toxic))
     for f in range(folds):
         worst[part == f] = sample.worst(sample.train(part != f, rounds, batch, seed), part == f)
@@ -418,6 +431,50 @@ def fit_network(texts: list[str | None], toxic: np.ndarray, prior: float | None
     return net
 
 
+def fit_apart(rows: DataFrame, prior: float | None = None, rounds: int = 7, batch: int = 256, seed: int = 5) -> Network:
+    """The network of :func:`fit_network` from (__id, __y, __text) rows, one for each id.
+
+    Each of its FOLDS + 1 networks is a task of its own with the whole sample, so neither texts nor
+    features reach the driver, only the last network and the logits of the documents.
+    """
+    last = FOLDS
+
+    def run(group: pa.Table) -> pa.Table:
+        f = group.column("__fold")[0].as_py()
+        found = sorted(zip(*(group.column(c).to_pylist() for c in ("__id", "__text", "__y")), strict=True), key=lambda r: r[0])
+        texts, toxic = [t for _, t, _ in found], np.array([y for *_, y in found], bool)
+        del group, found
+        sampled = _sampled(texts, toxic, seed)
+        net, worst, own = None, np.zeros(0), np.zeros(len(toxic), bool)
+        if sampled is None:
+            net = _constant(toxic, seed) if f == last else None
+        else:
+            sample, part, folds = sampled
+            if f == last:
+                net = sample.train(np.ones(len(toxic), bool), rounds, batch, seed)
+            elif f < folds:
+                own = part == f
+                worst = sample.worst(sample.train(~own, rounds, batch, seed), own)
+        columns = [[None if net is None else pickle.dumps(net)], [np.flatnonzero(own).tolist()], [worst.tolist()], [toxic[own].tolist()]]
+        kinds = [pa.binary(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.bool_())]
+        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["net", "at", "worst", "toxic"])
+
+    # 24 partitions for the four networks: their numbers hash to different ones.
+    each = rows.select("__id", "__y", "__text", F.explode(F.sequence(F.lit(0), F.lit(last))).alias("__fold")).repartition(6 * (last + 1), "__fold")
+    with setting(rows.sparkSession, spark__sql__execution__arrow__maxBytesPerBatch=str(Scratch.BYTES)):
+        parts = each.groupBy("__fold").applyInArrow(run, "net binary, at array<long>, worst array<double>, toxic array<boolean>").collect()
+    nets = [r["net"] for r in parts if r["net"] is not None]
+    if not nets:
+        return _constant(np.zeros(0, bool), seed)
+    net = pickle.loads(nets[0])
+    at = np.array([i for r in parts for i in r["at"]], np.int64)
+    if len(at):
+        order = np.argsort(at)
+        worst, toxic = (np.array([x for r in parts for x in r[k]], t)[order] for k, t in (("worst", float), ("toxic", bool)))
+        net.scale, net.shift = _calibrate(worst, toxic, prior)
+    return net
+
+
 #: The score of a document that is as likely toxic as not.
 EVEN = 0.7
 #: Share of documents whose label says nothing about their worst logit, as far as calibration goes.
@@ -459,8 +516,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic",
     """Fit on at most ``most`` (toxic, clean) labelled rows, chosen by a hash of the id, for which ``keep`` holds.
 
     Null ids and labels do not count; an id whose labels differ counts as toxic; of rows with one id the
-    least text is read, so at most sum(most) rows reach the driver, each of bounded length.  Without two
-    rows of both labels the score is a constant.
+    least text is read, so the sample has at most sum(most) rows, each of bounded length; it is trained on
+    by executors.  Without two rows of both labels the score is a constant.
     """
     own = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     own = own.where(keep) if keep is not None else own
@@ -471,11 +528,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic",
     rows = docs.select(F.col(id_col).alias("__id"), text.alias("__text"))
     count = own.agg(F.count("*").alias("n"), F.sum("__y").alias("t")).first()
     prior = count["t"] / count["n"] if count["n"] else None
-    found = rows.join(F.broadcast(picked), "__id").groupBy("__id", "__y").agg(F.min(_spread(F.col("__text"))).alias("__text")).collect()
-    found = sorted((r["__id"], r["__text"], r["__y"]) for r in found)
-    texts, toxic = [t for _, t, _ in found], np.array([y for *_, y in found], bool)
-    del found
-    return fit_network(texts, toxic, prior)
+    found = rows.join(F.broadcast(picked), "__id").groupBy("__id", "__y").agg(F.min(_spread(F.col("__text"))).alias("__text"))
+    return fit_apart(found, prior)
 
 
 def _judge(net: Network, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:

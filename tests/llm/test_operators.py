@@ -158,6 +158,24 @@ def test_toxicity_learns_and_scores_long_texts(spark, odd, nothing):
     assert toxicity.drop_toxic(odd, net).columns == odd.columns
 
 
+def test_training_leaves_the_driver(spark, monkeypatch):
+    """Executors train the same network as fit_network; the driver makes no features."""
+    rng = random.Random(6)
+    rows = [(k, int(k % 3 == 0), prose(rng.randint(5, 60), rng) + (" vilest" if k % 3 == 0 else "")) for k in range(90)]
+    want = toxicity.fit_network([t for *_, t in rows], np.array([y for _, y, _ in rows]), 0.2, rounds=1)
+    few = toxicity.fit_network([t for *_, t in rows[:3]], np.array([1, 0, 0]))
+    monkeypatch.setattr(toxicity.Vocabulary, "of", None)  # in this process only
+    docs = spark.createDataFrame([(k, t) for k, _, t in rows] + [(900, None), (None, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, y) for k, y, _ in rows], "doc_id long, toxic int")
+    frame = docs.join(labels, "doc_id").select(F.col("doc_id").alias("__id"), F.col("toxic").alias("__y"), F.col("text").alias("__text"))
+    got = toxicity.fit_apart(frame, 0.2, rounds=1)
+    # Equal but for rounding, which depends on how many threads numpy has.
+    assert all(np.allclose(got.p[k], want.p[k], atol=1e-2) for k in want.p) and np.allclose([got.scale, got.shift], [want.scale, want.shift], rtol=0.05, atol=0.05)
+    one = toxicity.train_toxicity(docs, labels.where("doc_id < 3"))
+    assert (one.scale, one.shift) == (few.scale, few.shift) and few.scale == 0
+    assert toxicity.train_toxicity(docs, labels.where("false")).scale == 0.0
+
+
 def test_toxicity_gradients():
     net = toxicity.Network(1)
     data, offsets = toxicity.text_bytes(toxicity.pa.array(["some words here and more", "tiny"]))
