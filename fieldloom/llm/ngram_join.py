@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, fresh, lower_ascii, mix, row_key, skew_safe_join, span_hashes, text_slices, words
+from .common import Scratch, fresh, give_back, lower_ascii, mix, row_key, skew_safe_join, span_hashes, text_slices, words
 
 SHINGLE = 5
 #: Links when PERCENT[0] * intersection >= PERCENT[1] * union.
@@ -104,6 +104,7 @@ def _set_rows(docs: DataFrame, id_col: str, text_col: str, share: float) -> Data
                 tokens = pa.ListArray.from_arrays(pa.array(cut), pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)))
                 del sets
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), sizes, pa.array(nodes, pa.binary()), marks, tokens], ["__id", "__k", "n", "node", "mark", "tokens"])
+        give_back()
 
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
     rows = rows.select("__id", _row_hash("__id", "__text").alias("__k"), "__text")
@@ -294,6 +295,7 @@ def _walk(groups: DataFrame, by: list[str]) -> DataFrame:
                 held.append(batch.slice(a, b - a))
         if held:
             yield from _run_group(key, held)
+        give_back()
 
     return groups.select(*by, "sid", "n", "tokens", "probe", "large").repartition(*by).sortWithinPartitions(*by, "sid", "probe").mapInArrow(run, _LINKS)
 

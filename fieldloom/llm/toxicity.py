@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, lower_ascii, setting, span_hashes, text_bytes, text_slices
+from .common import Scratch, give_back, lower_ascii, setting, span_hashes, text_bytes, text_slices
 
 #: Labelled documents that training reads at most, of either label.
 TRAIN_TOXIC, TRAIN_CLEAN = 1200, 2400
@@ -457,6 +457,8 @@ def fit_apart(rows: DataFrame, prior: float | None = None, rounds: int = 7, batc
                 worst = sample.worst(sample.train(~own, rounds, batch, seed), own)
         columns = [[None if net is None else pickle.dumps(net)], [np.flatnonzero(own).tolist()], [worst.tolist()], [toxic[own].tolist()]]
         kinds = [pa.binary(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.bool_())]
+        sample = sampled = None
+        give_back()
         return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["net", "at", "worst", "toxic"])
 
     # 24 partitions for the four networks: their numbers hash to different ones.
@@ -567,6 +569,7 @@ def score_toxicity(docs: DataFrame, net: Network, id_col: str = "doc_id", text_c
             worst, windows, first, last = _judge(cell.value, data, offsets)
             columns = [batch.column(0), pa.array(cell.value.score(worst)), pa.array(windows.astype(np.int64)), pa.array(first, mask=first < 0), pa.array(last, mask=last < 0)]
             yield pa.RecordBatch.from_arrays(columns, [id_col, "score", "windows", "worst_start", "worst_end"])
+        give_back()
 
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text"))
     scored = rows.mapInArrow(run, f"`{id_col}` {kind}, score double, windows long, worst_start long, worst_end long")
@@ -583,5 +586,6 @@ def drop_toxic(docs: DataFrame, net: Network, threshold: float = 0.7, text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in text_slices(batches, text_col, 1 << 20):
             yield batch.filter(pa.array(cell.value.score(_judge(cell.value, data, offsets)[0]) < threshold))
+        give_back()
 
     return docs.mapInArrow(run, schema)

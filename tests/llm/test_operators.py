@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fieldloom.llm import decontaminate, media, mixing, ngram_join, quality, sharding, suffix_dedup, toxicity, url_filter, warc
+from fieldloom.llm import common, decontaminate, media, mixing, ngram_join, quality, sharding, suffix_dedup, toxicity, url_filter, warc
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, shard string, node string, rule string"
 RNG = random.Random(3)
@@ -176,6 +176,34 @@ def test_training_leaves_the_driver(spark, monkeypatch):
     assert toxicity.train_toxicity(docs, labels.where("false")).scale == 0.0
 
 
+def test_tables_cost_no_checksum_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "scratch_root", lambda spark: f"file://{tmp_path}")
+    with common.Scratch(spark, "own") as scratch:
+        out = scratch.write(spark.range(0, 1000, 1, 7), "numbers")
+        names = [p.name for p in tmp_path.rglob("*") if p.is_file()]
+        assert sum(n.startswith("part-") for n in names) == 7 and not [n for n in names if n.endswith(".crc")]
+        assert sorted(r.id for r in out.collect()) == list(range(1000))
+    assert not [p for p in tmp_path.rglob("*") if p.is_file()]
+
+
+def test_hashing_long_texts_holds_little(monkeypatch):
+    sizes, own = [], common._poly
+    monkeypatch.setattr(common, "_poly", lambda size: sizes.append(size) or own(size))
+    data = np.random.default_rng(3).integers(0, 256, 3 << 20, dtype=np.uint8)
+    starts = np.arange(0, len(data) - 9, 7)
+    got = common.span_hashes(data, starts, starts + 9)
+    assert max(sizes) <= 1 << 19  # the powers stay with the worker, 16 bytes each
+    assert (got == common.rolling_hashes(data, 9)[starts]).all()
+
+
+def test_workers_give_memory_back(monkeypatch):
+    released = []
+    monkeypatch.setattr(common.pa, "default_memory_pool", lambda: type("Pool", (), {"release_unused": lambda self: released.append(1)})())
+    monkeypatch.setattr(common.ctypes, "CDLL", lambda name: object())  # a C library without malloc_trim
+    common.give_back()
+    assert released == [1]
+
+
 def test_toxicity_gradients():
     net = toxicity.Network(1)
     data, offsets = toxicity.text_bytes(toxicity.pa.array(["some words here and more", "tiny"]))
