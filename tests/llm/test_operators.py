@@ -186,6 +186,17 @@ def test_tables_cost_no_checksum_files(spark, tmp_path, monkeypatch):
     assert not [p for p in tmp_path.rglob("*") if p.is_file()]
 
 
+def test_damaged_tables_are_not_read(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "scratch_root", lambda spark: f"file://{tmp_path}")
+    with common.Scratch(spark, "own") as scratch:
+        out = scratch.write(spark.createDataFrame([(1, "a needle in hay"), (2, "other words")], "id long, text string").coalesce(1), "texts")
+        part = next(p for p in tmp_path.rglob("part-*") if p.stat().st_size)
+        assert out.count() == 2
+        part.write_bytes(part.read_bytes().replace(b"a needle in hay", b"a noodle in hay", 1))
+        with pytest.raises(Exception, match="(?i)crc|checksum|corrupt|FAILED_READ_FILE"):
+            out.select("text").collect()
+
+
 def test_hashing_long_texts_holds_little(monkeypatch):
     sizes, own = [], common._poly
     monkeypatch.setattr(common, "_poly", lambda size: sizes.append(size) or own(size))
