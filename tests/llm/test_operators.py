@@ -197,6 +197,40 @@ def test_damaged_tables_are_not_read(spark, tmp_path, monkeypatch):
             out.select("text").collect()
 
 
+def test_repeats_are_stored_without_processes_of_the_jvm(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "scratch_root", lambda spark: f"file://{tmp_path}/a folder")
+    text = " ".join(f"word{i}" for i in range(100))
+    docs = spark.createDataFrame([(1, text), (2, f"more {text}"), (3, "short"), (4, None)], "doc_id long, text string").repartition(3)
+    written = lambda: sum(s.getBytesWritten() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics() if s.getScheme() == "file")
+    before = written()
+    out = suffix_dedup.remove_repeats(docs)
+    assert written() == before  # each file that the JVM makes on a local path costs it a chmod
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans) for r in out.collect()) == [(1, len(text), len(text), 1), (2, len(text) + 5, len(text), 1), (3, 5, 0, 0), (4, 0, 0, 0)]
+    assert {p.parent.name for p in tmp_path.rglob("*") if p.is_file()} == {"result"}
+
+
+def test_tables_of_workers(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "scratch_root", lambda spark: f"file:{tmp_path}")
+    rows = [(k, f"a needle {k}", bytes([k]), [(k, None), (None, "x")] if k % 3 else None) for k in range(200)]
+    df = spark.createDataFrame(rows, "id int, text string, raw binary, list array<struct<a:long,b:string>>").repartition(5)
+    with common.WorkerScratch(spark, "own") as scratch:
+        assert sorted(map(tuple, scratch.write(df, "plain").collect())) == rows
+        assert scratch.write(df.where("false"), "none").count() == 0
+        mapped = scratch.write(df.select("id"), "mapped", (lambda batches: batches, "other int"))
+        assert sorted(map(tuple, mapped.collect())) == [(k,) for k in range(200)]
+        days = df.selectExpr("date_add(date'1500-01-01', id) as day")  # Spark's own writer takes these
+        assert sorted(scratch.write(days, "days").collect()) == sorted(days.collect())
+        with pytest.raises(Exception, match="(?i)exist"):
+            scratch.write(df, "plain")
+        out = scratch.write(spark.createDataFrame([(1, "a needle in hay"), (2, "other words")], "id long, text string").coalesce(1), "damaged")
+        part = next(p for p in tmp_path.rglob("damaged/part-*"))
+        assert out.count() == 2
+        part.write_bytes(part.read_bytes().replace(b"a needle in hay", b"a noodle in hay", 1))
+        with pytest.raises(Exception, match="(?i)crc|checksum|corrupt|FAILED_READ_FILE"):
+            out.select("text").collect()
+    assert not [p for p in tmp_path.rglob("*") if p.is_file()]
+
+
 def test_hashing_long_texts_holds_little(monkeypatch):
     sizes, own = [], common._poly
     monkeypatch.setattr(common, "_poly", lambda size: sizes.append(size) or own(size))
